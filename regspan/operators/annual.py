@@ -89,9 +89,8 @@ def annual_indicator_pivot(
 
 
 def _as_percentage(value: Column) -> Column:
-    """Percentage with two decimals, ties to even; the sign stays on a rounded zero."""
-    size = F.bround(F.abs(value * 100).cast("decimal(38,18)"), 2)
-    return F.concat(F.when(value < 0, "-").otherwise(""), size.cast("decimal(38,2)").cast("string"))
+    """Percentage with two decimals, rounded by the exact binary value, ties to even."""
+    return F.call_function("format_number", value * 100, F.lit("0.00"))
 
 
 def _as_count(value: Column) -> Column:

@@ -141,13 +141,13 @@ def _count_by_subgroup(
         .groupBy("attribute", "subgroup", time)
         .agg(
             *(F.sum(F.col(c) * F.col("weight")).alias(c) for c in COUNTS),
-            *(F.sum(F.when(F.col("is_first"), F.col(c))).alias(f"_{c}") for c in COUNTS),
+            *(F.sum(F.when(F.col("is_first"), F.col(c)).otherwise(0)).alias(f"_{c}") for c in COUNTS),
         )
     )
     own = F.struct("subgroup", *COUNTS)
     nobody = F.lit(None).cast("string").alias("subgroup")
     less_covered = F.struct(
-        nobody, *(-F.coalesce(f"_{c}", F.lit(0)).alias(c) for c in COUNTS)
+        nobody, *((-F.col(f"_{c}")).alias(c) for c in COUNTS)
     )
     everybody = (
         rows.groupBy(time)

@@ -33,12 +33,16 @@ def check_columns(df: DataFrame, table: str) -> DataFrame:
 
 
 def scan_table(spark: SparkSession, table: str, base_dir: str | None = None) -> DataFrame:
-    """Lazy scan of one dump table below `base_dir` (default: the PARQUET_DIR variable)."""
+    """Lazy scan of one Parquet table below `base_dir` (default: the PARQUET_DIR variable).
+
+    The tables the operators use are opened by their short name and checked; any other name
+    is taken as that of a file.
+    """
     base_dir = base_dir or os.environ.get("PARQUET_DIR")
     if not base_dir:
         raise ValueError("give base_dir or set PARQUET_DIR")
-    path = f"{base_dir.rstrip('/')}/{TABLE_FILES[table]}.parquet"
-    return check_columns(spark.read.parquet(path), table)
+    df = spark.read.parquet(f"{base_dir.rstrip('/')}/{TABLE_FILES.get(table, table)}.parquet")
+    return check_columns(df, table) if table in TABLE_FILES else df
 
 
 class Dump(Mapping):
