@@ -47,7 +47,8 @@ def _kept() -> Column:
 
 
 def _registrations_at(dump: Dump, sample: Sample, cutoff: Column) -> DataFrame:
-    return nodes(dump, sample).where(F.col("created") <= cutoff)
+    existing = (F.col("created") <= cutoff) & F.col("id").isNotNull()
+    return nodes(dump, sample).where(existing)
 
 
 def _additions(dump: Dump, cutoff: Column) -> DataFrame:
@@ -55,6 +56,7 @@ def _additions(dump: Dump, cutoff: Column) -> DataFrame:
     return (
         dump["logs"]
         .where((F.col("action") == RESOURCE_ADDED) & (F.col("created") <= cutoff))
+        .where(F.col("node_id").isNotNull())
         .select(
             "node_id",
             F.col("created").alias("added"),
@@ -166,25 +168,24 @@ def _link_changes(dump: Dump, cutoffs: Sequence[date]) -> DataFrame:
     negated, where its artifact is gone."""
     last = F.lit(cutoffs[-1])
     n = len(cutoffs)
-    visible_from = F.greatest("added", "artifact_created")
-    links = (
-        _additions(dump, last)
-        .join(_artifacts(dump, last, F.lit(cutoffs[0])), "artifact_id")
-        .select(
-            "node_id",
-            "artifact_type",
-            "artifact_created",
-            "artifact_deleted",
-            cutoff_position(visible_from, cutoffs).alias("start"),
-            F.coalesce(cutoff_position("artifact_deleted", cutoffs), F.lit(n)).alias("stop"),
-        )
-        .where(F.col("start") < F.col("stop"))
+    # Positions are taken before the join: it then moves and compares small integers.
+    additions = _additions(dump, last).select(
+        "node_id", "artifact_id", cutoff_position("added", cutoffs).alias("added_at")
+    )
+    artifacts = _artifacts(dump, last, F.lit(cutoffs[0])).select(
+        "*",
+        cutoff_position("artifact_created", cutoffs).alias("created_at"),
+        F.coalesce(cutoff_position("artifact_deleted", cutoffs), F.lit(n)).alias("stop"),
     )
-    begin = F.struct(F.col("start").alias("position"), F.lit(1).alias("sign"))
+    start = F.greatest("added_at", "created_at")
+    links = additions.join(artifacts, "artifact_id").where(start < F.col("stop"))
+    begin = F.struct(start.alias("position"), F.lit(1).alias("sign"))
     end = F.struct(F.col("stop").alias("position"), F.lit(-1).alias("sign"))
     both_ends = F.when(F.col("stop") < n, F.array(begin, end)).otherwise(F.array(begin))
+    changes = links.select(
+        "node_id", "artifact_type", "artifact_created", "artifact_deleted", F.inline(both_ends)
+    )
     first = _kept() & (F.col("sign") > 0)
-    changes = links.select("*", F.inline(both_ends))
     return changes.select(
         "node_id",
         "position",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from regspan.functions.columns import is_true
 from regspan.functions.cutoffs import check_cutoffs
 from regspan.functions.timeline import by_position, next_position, running, spread
+from regspan.functions.totals import with_total
 from regspan.schemas import OVERALL, SUPPORTED_ATTRIBUTES
 
 COUNTS = ("n_osr", "have_resources", "have_outputs", "have_outcomes", "are_los")
@@ -31,30 +32,15 @@ def _flags() -> dict[str, Column]:
 
 def _with_shares(counts: DataFrame, share_within: Sequence[str] = ()) -> DataFrame:
     """Proportions. `prop_osr` relates to the sum over all rows of the result, or over the
-    rows that agree in `share_within` (columns with few values, such as date or attribute).
-
-    The totals are a scalar subquery over all counts, so that it reads the same shuffle as
-    the lines themselves: with fewer columns it would be another one.
-    """
-    sums = F.struct(*(F.sum(c).alias(c) for c in COUNTS)).alias("sums")
-    if share_within:
-        key = F.to_json(F.struct(*share_within))
-        by_key = counts.groupBy(key.alias("key")).agg(sums)
-        totals = by_key.select(
-            F.map_from_entries(F.collect_list(F.struct("key", "sums")))
-        ).scalar()
-        total = F.element_at(totals, key)["n_osr"]
-    else:
-        total = counts.select(sums).scalar()["n_osr"]
-    return counts.withColumns(
-        {
-            "prop_osr": F.col("n_osr") / total,
-            "prop_resources": F.col("have_resources") / F.col("n_osr"),
-            "prop_outputs": F.col("have_outputs") / F.col("n_osr"),
-            "prop_outcomes": F.col("have_outcomes") / F.col("n_osr"),
-            "prop_los": F.col("are_los") / F.col("n_osr"),
-        }
-    )
+    rows that agree in `share_within`."""
+    shares = {
+        "prop_osr": F.col("n_osr") / F.col("total"),
+        "prop_resources": F.col("have_resources") / F.col("n_osr"),
+        "prop_outputs": F.col("have_outputs") / F.col("n_osr"),
+        "prop_outcomes": F.col("have_outcomes") / F.col("n_osr"),
+        "prop_los": F.col("are_los") / F.col("n_osr"),
+    }
+    return with_total(counts, "n_osr", share_within).withColumns(shares).drop("total")
 
 
 def los_summarizer(
@@ -127,43 +113,50 @@ def _count_by_subgroup(
 
     Registrations without a row in the bag for an attribute count once under NULL there, as
     after a left join per attribute. They are not looked up: NULL gets the sum over all
-    registrations less the sum over those that have rows, both of which fall out of the
-    passes made anyway. "overall" is the attribute no registration has rows for.
+    registrations less the sum over those that have rows for the attribute, and the one join
+    made anyway yields both. "overall" is the attribute no registration has rows for.
     """
-    # A registration has at most as many of these as the report has lines.
+    # A registration has at most as many of these rows as the report has lines.
     weighted = _weighted(
         bag.where(F.col("attribute").isin(*attributes)), "attribute", "subgroup"
     ).repartition("node_id")
-    of_node = Window.partitionBy("node_id", "attribute").orderBy("subgroup")
-    marked = weighted.withColumn("is_first", F.row_number().over(of_node) == 1)
+    of_attribute = Window.partitionBy("node_id", "attribute").orderBy("subgroup")
+    of_node = Window.partitionBy("node_id").orderBy("attribute", "subgroup")
+    marked = weighted.withColumns(
+        {
+            "once_in_attribute": F.row_number().over(of_attribute) == 1,
+            "once_in_all": F.row_number().over(of_node) == 1,
+        }
+    )
+    once = F.coalesce("once_in_all", F.lit(True))
     lines = (
-        rows.join(marked, "node_id")
+        rows.join(marked, "node_id", "left")
         .groupBy("attribute", "subgroup", time)
         .agg(
-            *(F.sum(F.col(c) * F.col("weight")).alias(c) for c in COUNTS),
-            *(F.sum(F.when(F.col("is_first"), F.col(c)).otherwise(0)).alias(f"_{c}") for c in COUNTS),
+            *(F.sum(F.col(c) * F.col("weight")).alias(f"own_{c}") for c in COUNTS),
+            *(
+                F.sum(F.when(F.col("once_in_attribute"), F.col(c))).alias(f"covered_{c}")
+                for c in COUNTS
+            ),
+            *(F.sum(F.when(once, F.col(c)).otherwise(0)).alias(f"all_{c}") for c in COUNTS),
         )
     )
-    own = F.struct("subgroup", *COUNTS)
-    nobody = F.lit(None).cast("string").alias("subgroup")
-    less_covered = F.struct(
-        nobody, *((-F.col(f"_{c}")).alias(c) for c in COUNTS)
-    )
-    everybody = (
-        rows.groupBy(time)
-        .agg(*(F.sum(c).alias(c) for c in COUNTS))
-        .select(
-            F.explode(F.array(*(F.lit(a) for a in attributes))).alias("attribute"),
-            time,
-            nobody,
-            *COUNTS,
-        )
+
+    def entry(attribute: Column, subgroup: Column, counts: Sequence[Column]) -> Column:
+        named = [count.alias(c) for count, c in zip(counts, COUNTS)]
+        return F.struct(attribute.alias("attribute"), subgroup.alias("subgroup"), *named)
+
+    nobody = F.lit(None).cast("string")
+    of_line = F.array(
+        entry(F.col("attribute"), F.col("subgroup"), [F.col(f"own_{c}") for c in COUNTS]),
+        entry(F.col("attribute"), nobody, [-F.col(f"covered_{c}") for c in COUNTS]),
+        *(entry(F.lit(a), nobody, [F.col(f"all_{c}") for c in COUNTS]) for a in attributes),
     )
     return (
-        lines.select("attribute", time, F.inline(F.array(own, less_covered)))
-        .unionByName(everybody)
+        lines.select(time, F.inline(of_line))
+        .where(F.col("attribute").isNotNull())
         .groupBy("attribute", "subgroup", time)
-        .agg(*(F.sum(c).alias(c) for c in COUNTS))
+        .agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS))
     )
 
 
