@@ -92,19 +92,16 @@ def cutoff_array(cutoffs: Sequence[date]) -> Column:
 
 
 def cutoff_position(moment: Column | str, cutoffs: Sequence[date]) -> Column:
-    """0-based position of the first cutoff at or after `moment`; len(cutoffs) after the last.
+    """0-based position of the first cutoff at or after `moment`.
 
-    One lookup by day number, whatever the spacing and number of the cutoffs.
+    It is len(cutoffs) for a moment after the last cutoff and for NULL, "never". One lookup
+    by day number, whatever the spacing and number of the cutoffs.
     """
     moment = F.col(moment) if isinstance(moment, str) else moment
     first, span = cutoffs[0], (cutoffs[-1] - cutoffs[0]).days
     by_day = [bisect_left(cutoffs, first + timedelta(days=d)) for d in range(span + 1)]
-    lookup = F.split(F.lit(",".join(map(str, by_day))), ",").cast("array<int>")
-    day = F.to_date(moment)
-    # A moment after midnight is first seen by a cutoff on a later day.
-    offset = F.date_diff(day, F.lit(first)) + (moment > day).cast("int")
-    return (
-        F.when(offset <= 0, 0)
-        .when(offset > span, len(cutoffs))
-        .otherwise(F.get(lookup, offset))
-    )
+    lookup = F.split(F.lit(",".join(map(str, [*by_day, len(cutoffs)]))), ",").cast("array<int>")
+    # The first midnight at or after the moment follows the day of the instant before it.
+    before = moment - F.expr("INTERVAL '0.000001' SECOND")
+    day = F.date_diff(F.to_date(before), F.lit(first)) + 1
+    return F.get(lookup, F.greatest(F.least(day, F.lit(span + 1)), F.lit(0)))

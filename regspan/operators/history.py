@@ -175,7 +175,7 @@ def _link_changes(dump: Dump, cutoffs: Sequence[date]) -> DataFrame:
     artifacts = _artifacts(dump, last, F.lit(cutoffs[0])).select(
         "*",
         cutoff_position("artifact_created", cutoffs).alias("created_at"),
-        F.coalesce(cutoff_position("artifact_deleted", cutoffs), F.lit(n)).alias("stop"),
+        cutoff_position("artifact_deleted", cutoffs).alias("stop"),
     )
     start = F.greatest("added_at", "created_at")
     links = additions.join(artifacts, "artifact_id").where(start < F.col("stop"))
