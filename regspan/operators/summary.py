@@ -223,11 +223,12 @@ def los_leaderboard(attribute_bag: DataFrame, counts: DataFrame, attribute: str)
     """
     status = counts.select("node_id", "is_los")
     grouped = (
-        attribute_bag.join(status, "node_id", "left")
+        _weighted(attribute_bag, attribute)
+        .join(status, "node_id", "left")
         .groupBy(attribute)
         .agg(
-            F.count("*").alias("n_regs"),
-            F.coalesce(F.sum("is_los"), F.lit(0)).alias("n_los"),
+            F.sum("weight").alias("n_regs"),
+            F.coalesce(F.sum(F.col("is_los") * F.col("weight")), F.lit(0)).alias("n_los"),
         )
     )
     return grouped.withColumn("prop_los", F.col("n_los") / F.col("n_regs")).orderBy(

@@ -200,6 +200,16 @@ def test_panel_against_brute_force_with_a_hot_registration_and_artifact(spark):
     assert bag(panel) == bag(per_cutoff(dump, MONTHS))
 
 
+def test_small_sample_changes_nothing_but_the_way(stories):
+    sample = [F.col("id").isin(1, 3, 5)]
+    panel = event_history_panel(stories, MONTHS, sample)
+    assert bag(panel) == bag(event_history_panel(stories, MONTHS, sample, small_sample=True))
+    counts = resource_counts_at_date(stories, "2020-04-01", sample)
+    small = resource_counts_at_date(stories, "2020-04-01", sample, small_sample=True)
+    assert bag(counts) == bag(small)
+    assert counts.count() == 3
+
+
 def test_panel_rows_are_the_registrations_alive(dump):
     cutoffs = cutoff_dates("1999-01-01", "1999-12-01")
     panel = event_history_panel(dump, cutoffs)
