@@ -5,7 +5,10 @@ The SQL runs unchanged in Spark and DuckDB.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import re
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
 
 from regspan.sources.dump import Dump, check_columns
 
@@ -83,8 +86,17 @@ FROM lineitem GROUP BY l_orderkey, l_linenumber""",
 
 def fixture_dump(spark: SparkSession, sf_dir: str) -> Dump:
     """The dump the given tables of one scale stand for."""
-    for table in GIVEN_TABLES:
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
-    # Opened here, so that a later call for another scale cannot change what they read.
-    opened = {name: check_columns(spark.sql(sql), name) for name, sql in VIEWS.items()}
-    return Dump(opened.__getitem__)
+
+    def load(name: str) -> DataFrame:
+        sql = VIEWS[name]
+        # Registered anew each time: another scale may have been opened in between.
+        for table in GIVEN_TABLES:
+            if re.search(rf"\b{table}\b", sql):
+                given(table).createOrReplaceTempView(table)
+        return check_columns(spark.sql(sql), name)
+
+    @cache
+    def given(table: str) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+    return Dump(load)

@@ -115,22 +115,23 @@ def _with_totals(counts: DataFrame, null_as_zero: bool) -> DataFrame:
     Registrations without a visible artifact have NULL linked counts, hence NULL totals and
     flag, and 0 removed ones.
     """
-    for column in ("removed_outputs", "removed_outcomes"):
-        counts = counts.withColumn(column, F.coalesce(column, F.lit(0)))
+    zero = ["removed_outputs", "removed_outcomes"]
     if null_as_zero:
-        for column in ("linked_outputs", "linked_outcomes"):
-            counts = counts.withColumn(column, F.coalesce(column, F.lit(0)))
+        zero += ["linked_outputs", "linked_outcomes"]
+    counts = counts.withColumns({c: F.coalesce(c, F.lit(0)) for c in zero})
     linked = F.col("linked_outputs") + F.col("linked_outcomes")
-    counts = counts.withColumns(
+    removed = F.col("removed_outputs") + F.col("removed_outcomes")
+    net_outputs = F.col("linked_outputs") - F.col("removed_outputs")
+    net_outcomes = F.col("linked_outcomes") - F.col("removed_outcomes")
+    return counts.withColumns(
         {
             "total_resources": linked,
-            "net_resources": linked - (F.col("removed_outputs") + F.col("removed_outcomes")),
-            "net_outputs": F.col("linked_outputs") - F.col("removed_outputs"),
-            "net_outcomes": F.col("linked_outcomes") - F.col("removed_outcomes"),
+            "net_resources": linked - removed,
+            "net_outputs": net_outputs,
+            "net_outcomes": net_outcomes,
+            "is_los": ((net_outputs > 0) & (net_outcomes > 0)).cast("int"),
         }
     )
-    both = (F.col("net_outputs") > 0) & (F.col("net_outcomes") > 0)
-    return counts.withColumn("is_los", both.cast("int"))
 
 
 def resource_counts_at_date(
@@ -252,16 +253,17 @@ def status_runs(
     )
     # Links may be older than the registration, and nodes outside the sample have links too:
     # both are dropped here, after they have been counted.
-    alive = totals.where(F.col("born") > 0).drop("born")
-    for column in ("linked_outputs", "linked_outcomes"):
-        alive = alive.withColumn(column, F.when(F.col("known") > 0, F.col(column)))
-    states = _with_totals(alive.drop("known"), null_as_zero)
+    known = F.col("known") > 0
+    alive = totals.where(F.col("born") > 0).withColumns(
+        {c: F.when(known, F.col(c)) for c in ("linked_outputs", "linked_outcomes")}
+    )
+    states = _with_totals(alive.drop("born", "known"), null_as_zero)
     return states.withColumn("los_lag", F.lag("is_los").over(by_position(keys)))
 
 
-def _los_change() -> Column:
+def _los_change(before: Column) -> Column:
     """1 on a gain, -1 on a loss, else 0; an unknown status is neither."""
-    now, before = F.col("is_los"), F.col("los_lag")
+    now = F.col("is_los")
     return (
         F.when((now == 1) & (before.isNull() | (before == 0)), 1)
         .when((now == 0) & (before == 1), -1)
@@ -272,11 +274,13 @@ def _los_change() -> Column:
 def panel_of_runs(runs: DataFrame, cutoffs: Sequence[Cutoff]) -> DataFrame:
     """The panel: one row per registration and cutoff, with the change of LOS status."""
     dense = spread(runs, check_cutoffs(cutoffs))
-    within_run = F.col("offset") > 0
-    return (
-        dense.withColumn("los_lag", F.when(within_run, F.col("is_los")).otherwise(F.col("los_lag")))
-        .withColumn("los_change", _los_change())
-        .select("date", "node_id", *COUNT_COLUMNS, "los_lag", "los_change")
+    before = F.when(F.col("offset") > 0, F.col("is_los")).otherwise(F.col("los_lag"))
+    return dense.select(
+        "date",
+        "node_id",
+        *COUNT_COLUMNS,
+        before.alias("los_lag"),
+        _los_change(before).alias("los_change"),
     )
 
 
@@ -306,5 +310,5 @@ def event_history_panel(
     return (
         reduce(DataFrame.unionByName, taken)
         .withColumn("los_lag", F.lag("is_los").over(in_time))
-        .withColumn("los_change", _los_change())
+        .withColumn("los_change", _los_change(F.col("los_lag")))
     )
