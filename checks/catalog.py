@@ -56,9 +56,10 @@ def _sample(dump: Dump) -> DataFrame:
 
 
 def _summarizer(dump: Dump) -> DataFrame:
-    bag = attributes.reg_institution(dump, VALID_REGISTRATION)
+    # One provider per registration: this join cannot multiply rows.
+    bag = attributes.reg_provider(dump, VALID_REGISTRATION)
     joined = _panel(dump).join(bag, "node_id", "left")
-    return summary.los_summarizer(joined, "institution", "date", threshold=0.001)
+    return summary.los_summarizer(joined, "provider", "date", threshold=0.005)
 
 
 def leaderboard(dump: Dump) -> DataFrame:

@@ -264,8 +264,8 @@ AND creator_id IN (SELECT id FROM users WHERE id > 100)""",
     "resource_counts_at_date": "SELECT * FROM counts",
     "event_history_panel": "SELECT * FROM panel",
     "los_summarizer": f"""SELECT * FROM (
- {_summary('panel LEFT JOIN attr_institution USING (node_id)', 'institution, date')})
-WHERE prop_osr >= 0.001""",
+ {_summary('panel LEFT JOIN attr_provider USING (node_id)', 'provider, date')})
+WHERE prop_osr >= 0.005""",
     "los_summary_by_attribute_overall": "SELECT * FROM summary_overall",
     "los_summary_by_attribute_institution": "SELECT * FROM summary_institution",
     "los_summary_all": "SELECT * FROM summary_all",

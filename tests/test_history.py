@@ -200,6 +200,13 @@ def test_panel_against_brute_force_with_a_hot_registration_and_artifact(spark):
     assert bag(panel) == bag(per_cutoff(dump, MONTHS))
 
 
+def test_single_cutoff(stories):
+    panel = event_history_panel(stories, ["2020-04-01"])
+    counts = resource_counts_at_date(stories, "2020-04-01")
+    assert bag(panel.drop("date", "los_lag", "los_change")) == bag(counts)
+    assert {r.los_lag for r in panel.collect()} == {None}
+
+
 def test_small_sample_changes_nothing_but_the_way(stories):
     sample = [F.col("id").isin(1, 3, 5)]
     panel = event_history_panel(stories, MONTHS, sample)
