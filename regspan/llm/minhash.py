@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +56,6 @@ def shingle_hashes(texts: list[str | None]):
     Words are lower-cased in A-Z only. Fewer words than SHINGLE count as one shingle.
     """
     import numpy as np
-    import pandas as pd
 
     words = [(t or "").encode().lower().split() for t in texts]
     counts = np.array([len(w) for w in words], np.int64)
@@ -210,9 +210,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     sets = sets.dropDuplicates(["doc_id"])
 
     @F.pandas_udf("boolean")
-    def enough(a: "pandas.Series", b: "pandas.Series") -> "pandas.Series":  # noqa: F821
+    def enough(a: pd.Series, b: pd.Series) -> pd.Series:
         import numpy as np
-        import pandas as pd
 
         def one(x: bytes, y: bytes) -> bool:
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)

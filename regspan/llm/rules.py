@@ -12,6 +12,7 @@ from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -179,8 +180,7 @@ def judged(text: Column, references: dict[str, Reference] | None = None) -> Colu
     chosen = references or REFERENCES
 
     @F.pandas_udf(COLUMNS)
-    def judge(batches: Iterator["pandas.Series"]) -> Iterator["pandas.DataFrame"]:  # noqa: F821
-        import pandas as pd
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
         one = Judge(chosen)
         names = [c.split()[0] for c in COLUMNS.split(", ")]
