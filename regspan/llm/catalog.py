@@ -7,16 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from regspan.llm import minhash, mixing, packing, rules, secrets
+from regspan.llm import ann, html, minhash, mixing, packing, rules, secrets, tokenstore
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_secrets": secrets.query,
         "op3_minhash": minhash.query,
+        "op4_neighbours": ann.query,
         "op6_rules": rules.query,
+        "op7_tokens": tokenstore.query,
         "op8_mixing": mixing.query,
         "op9_packing": packing.query,
+        "op10_html": html.query,
         "pipeline": corpus_pipeline.run,
     }
 
