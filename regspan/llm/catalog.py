@@ -7,14 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from regspan.llm import ann, html, minhash, mixing, packing, rules, secrets, tokenstore
+from regspan.llm import (
+    ann, html, minhash, mixing, packing, quality, rules, secrets, suffixes, tokenstore,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffixes": suffixes.query,
         "op2_secrets": secrets.query,
         "op3_minhash": minhash.query,
         "op4_neighbours": ann.query,
+        "op5_quality": quality.query,
         "op6_rules": rules.query,
         "op7_tokens": tokenstore.query,
         "op8_mixing": mixing.query,
