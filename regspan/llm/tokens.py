@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
+from array import array
 from collections.abc import Callable
 
 # White space beyond ASCII, on which libraries differ. Texts that hold any are encoded whole.
@@ -24,11 +26,21 @@ _PIECE = {
 # Punctuation behind a letter always starts a new unit, an apostrophe apart.
 _TAIL = re.compile(r"(.*[A-Za-z])([!-&(-/:-@\[-`{-~]+)", re.S)
 # Two generations of pieces are kept; the older goes when the younger is full.
-_GENERATION = 300_000
+_GENERATION = 600_000
 
 _encoders: dict[tuple[str, str], Encoder] = {}
 
 
+def _visible_bytes() -> dict[int, str]:
+    """The character by which byte-level vocabularies write each byte, by their rule.
+
+    Visible Latin-1 characters stand for themselves, others follow from 256 on.
+    """
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """Ids of a text as bytes: unsigned 32-bit little-endian numbers."""
 
@@ -37,36 +49,59 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
+        self._units = self._library.model.tokenize
+        self._drops = space == "drop"
         self._find = _PIECE[space].findall
+        self._visible = _visible_bytes()
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
         found = self._library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def _word(self, piece: str) -> bytes:
+        """A piece of letters, with one space before it where spaces count: one unit.
+
+        The library's model is asked at once, without the steps that find units.
+        """
+        data = piece.encode().decode("latin-1").translate(self._visible)
+        return array("I", [t.id for t in self._units(data)]).tobytes()
+
+    def _is_word(self, piece: str) -> bool:
+        if self._drops:
+            # Lower case may add marks that are no letters.
+            return piece.isalpha() and (
+                piece.isascii()
+                or unicodedata.is_normalized("NFC", piece)
+                and "".join(map(str.lower, piece)).isalpha()
+            )
+        return piece.isalpha() or piece[0] == " " and piece[1:].isalpha()
 
     def _learn(self, missing: set[str]) -> None:
         """Fill the young generation with the pieces missing there."""
         young, old = self._young, self._old
         cut: dict[str, tuple[str, str]] = {}
-        ask: set[str] = set()
+        ask: list[str] = []
         for piece in missing:
             if piece in old:
                 young[piece] = old[piece]
                 continue
             parts = _TAIL.fullmatch(piece) if "<|" not in piece else None
             for part in parts.groups() if parts else (piece,):
-                if part not in young:
-                    if part in old:
-                        young[part] = old[part]
-                    else:
-                        ask.add(part)
+                if part in young:
+                    continue
+                if part in old:
+                    young[part] = old[part]
+                elif self._is_word(part):
+                    lower = "".join(map(str.lower, part)) if self._drops else part
+                    young[part] = self._word(lower)
+                else:
+                    ask.append(part)
             if parts:
                 cut[piece] = parts.groups()
-        words = list(ask)
-        young.update(zip(words, self._whole(words)))
+        if ask:
+            young.update(zip(ask, self._whole(ask)))
         for piece, (core, tail) in cut.items():
             young[piece] = young[core] + young[tail]
 
@@ -77,6 +112,8 @@ class Encoder:
             return self._whole([text])[0]
         if len(self._young) > _GENERATION:
             self._old, self._young = self._young, {}
+        if self._drops and "<|" not in text:  # such marks are special in lower case only
+            text = text.encode().lower().decode()  # A to Z
         pieces = self._find(text)
         missing = set(pieces).difference(self._young)
         if missing:
