@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Sequence
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -78,14 +79,28 @@ def cutoff_sequence(start: Column, end: Column, step: str = "month") -> Column:
     return F.when(start <= end, series)
 
 
+def _whole_day(value: date | datetime | str) -> date:
+    """A cutoff of the panel. Its axis is days, so a time of day is refused, not dropped."""
+    moment = datetime.fromisoformat(value) if isinstance(value, str) else value
+    if isinstance(moment, datetime) and moment.time() != time.min:
+        raise ValueError(f"cutoff {value} has a time of day: only a snapshot can be taken there")
+    return as_date(value)
+
+
 def check_cutoffs(cutoffs: Sequence[date | str]) -> list[date]:
     """Cutoffs as ascending distinct dates."""
-    dates = [as_date(c) for c in cutoffs]
+    dates = [_whole_day(c) for c in cutoffs]
     if not dates or any(a >= b for a, b in zip(dates, dates[1:])):
         raise ValueError("cutoffs must be ascending and not empty")
     return dates
 
 
+def cutoffs_id(cutoffs: Sequence[date]) -> int:
+    """A number that tells one list of cutoffs from another; goes with rows that hold positions."""
+    digest = hashlib.sha256(",".join(map(str, cutoffs)).encode()).digest()
+    return int.from_bytes(digest[:8], "big", signed=True)
+
+
 def cutoff_array(cutoffs: Sequence[date]) -> Column:
     """Cutoffs as one constant array."""
     return F.split(F.lit(",".join(map(str, cutoffs))), ",").cast("array<date>")

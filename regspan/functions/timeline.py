@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from regspan.functions.cutoffs import cutoff_array
+from regspan.functions.cutoffs import cutoff_array, cutoffs_id
 
 
 def by_position(keys: Sequence[str]) -> WindowSpec:
@@ -30,6 +30,18 @@ def next_position(keys: Sequence[str], n_cutoffs: int) -> Column:
     return F.lead("position", 1, n_cutoffs).over(by_position(keys))
 
 
+def tied(runs: DataFrame, cutoffs: Sequence[date]) -> DataFrame:
+    """Runs without their mark `cutoffs_id`, which must be that of these cutoffs.
+
+    Positions read against another list of cutoffs would give wrong dates, so the query fails.
+    """
+    same = F.col("cutoffs_id").eqNullSafe(F.lit(cutoffs_id(cutoffs)))
+    wrong = F.raise_error(F.lit("the status runs were made for other cutoffs")).cast("int")
+    return runs.withColumn("position", F.when(same, F.col("position")).otherwise(wrong)).drop(
+        "cutoffs_id"
+    )
+
+
 def spread(runs: DataFrame, cutoffs: Sequence[date]) -> DataFrame:
     """One row per cutoff in [position, next_position), with `date` and `offset` in the run.
 

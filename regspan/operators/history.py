@@ -10,9 +10,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regspan.functions.columns import is_true, mined_key, sum_if
-from regspan.functions.cutoffs import check_cutoffs, cutoff_literal, cutoff_position
+from regspan.functions.cutoffs import (
+    check_cutoffs,
+    cutoff_literal,
+    cutoff_position,
+    cutoffs_id,
+)
 from regspan.functions.joins import left_join_many
-from regspan.functions.timeline import by_position, next_position, running, spread
+from regspan.functions.timeline import by_position, next_position, running, spread, tied
 from regspan.operators.samples import Sample, nodes
 from regspan.schemas import OUTCOME_TYPE, OUTPUT_TYPES, RESOURCE_ADDED, VALID_REGISTRATION
 from regspan.sources.dump import Dump
@@ -229,7 +234,7 @@ def status_runs(
     changes, added up per (node, cutoff position) on the map side first; running totals per
     node then give the state from one change to the next. Nothing here grows with
     registrations x cutoffs, and a node has at most one row per cutoff however many links
-    it has.
+    it has. `cutoffs_id` marks the cutoffs that positions refer to.
     """
     cutoffs = check_cutoffs(cutoffs)
     last = F.lit(cutoffs[-1])
@@ -258,7 +263,12 @@ def status_runs(
         {c: F.when(known, F.col(c)) for c in ("linked_outputs", "linked_outcomes")}
     )
     states = _with_totals(alive.drop("born", "known"), null_as_zero)
-    return states.withColumn("los_lag", F.lag("is_los").over(by_position(keys)))
+    return states.withColumns(
+        {
+            "los_lag": F.lag("is_los").over(by_position(keys)),
+            "cutoffs_id": F.lit(cutoffs_id(cutoffs)),
+        }
+    )
 
 
 def _los_change(before: Column) -> Column:
@@ -272,8 +282,12 @@ def _los_change(before: Column) -> Column:
 
 
 def panel_of_runs(runs: DataFrame, cutoffs: Sequence[Cutoff]) -> DataFrame:
-    """The panel: one row per registration and cutoff, with the change of LOS status."""
-    dense = spread(runs, check_cutoffs(cutoffs))
+    """The panel: one row per registration and cutoff, with the change of LOS status.
+
+    The cutoffs must be those of the runs.
+    """
+    cutoffs = check_cutoffs(cutoffs)
+    dense = spread(tied(runs, cutoffs), cutoffs)
     before = F.when(F.col("offset") > 0, F.col("is_los")).otherwise(F.col("los_lag"))
     return dense.select(
         "date",

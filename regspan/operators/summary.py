@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from regspan.functions.columns import is_true
 from regspan.functions.cutoffs import check_cutoffs
-from regspan.functions.timeline import by_position, next_position, running, spread
+from regspan.functions.timeline import by_position, next_position, running, spread, tied
 from regspan.functions.totals import with_total
 from regspan.schemas import OVERALL, SUPPORTED_ATTRIBUTES
 
@@ -205,7 +205,8 @@ def los_summary_of_runs(
     """
     attributes = _check_attributes(attributes)
     cutoffs = check_cutoffs(cutoffs)
-    changes = _count_by_subgroup(_flag_changes(runs), "position", bag, attributes)
+    rows = _flag_changes(tied(runs, cutoffs))
+    changes = _count_by_subgroup(rows, "position", bag, attributes)
     keys = ["attribute", "subgroup"]
     totals = changes.select(
         *keys,

@@ -1,9 +1,9 @@
 """The five steps as jobs: each reads stored tables and writes one.
 
     1 attributes   tall bag (node_id, attribute, subgroup), one folder per attribute
-    2 history      status runs, and the panel spread from them
+    2 history      status runs with their cutoffs, and the panel, one folder per year
     3 summaries    one table, one folder per attribute
-    4 report       long-form dataset
+    4 report       long-form dataset, one folder per attribute
     5 annual       one folder per year
 """
 
@@ -15,13 +15,16 @@ from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from regspan.functions.cutoffs import check_cutoffs
 from regspan.operators import annual, attributes, history, reporting, summary
 from regspan.operators.samples import Sample
 from regspan.schemas import OVERALL, SUPPORTED_ATTRIBUTES, VALID_REGISTRATION
 from regspan.sources.dump import Dump
 
 ATTRIBUTES, RUNS, PANEL = "osr_attributes", "los_runs", "los_ts"
+CUTOFFS = "los_cutoffs"  # of the stored runs; empty where the panel was made without runs
 SUMMARIES, REPORT, ANNUAL = "los_ts_summary", "reporting_dataset", "annual_indicators"
 
 
@@ -66,34 +69,48 @@ def step_history(
     cutoffs: Sequence[date | str],
     sample: Sample = VALID_REGISTRATION,
     snapshot: Callable[[Dump, date, Sample], DataFrame] | None = None,
+    null_as_zero: bool = False,
 ) -> None:
-    """Status runs and the panel; with another snapshot function only the panel."""
+    """Status runs with their cutoffs, and the panel; with another snapshot function only the
+    panel. Runs of an earlier call are then no longer used."""
     panel_path = f"{data_dir}/{PANEL}"
+    spark = dump["nodes"].sparkSession
+    # Without cutoffs there are no valid runs, whatever happens from here on.
+    _write(spark.createDataFrame([], "cutoff date"), f"{data_dir}/{CUTOFFS}")
     if snapshot is not None:
         panel = history.event_history_panel(dump, cutoffs, sample, snapshot=snapshot)
-        _write(panel, panel_path)
+        _write(panel.withColumn("year", F.year("date")), panel_path, "year")
         return
     runs_path = f"{data_dir}/{RUNS}"
-    runs = history.status_runs(dump, cutoffs, sample)
+    runs = history.status_runs(dump, cutoffs, sample, null_as_zero)
     _write(runs, runs_path)
-    stored = runs.sparkSession.read.parquet(runs_path)
-    _write(history.panel_of_runs(stored, cutoffs), panel_path)
+    stored = spark.read.parquet(runs_path)
+    panel = history.panel_of_runs(stored, cutoffs)
+    _write(panel.withColumn("year", F.year("date")), panel_path, "year")
+    dates = [(d,) for d in check_cutoffs(cutoffs)]
+    _write(spark.createDataFrame(dates, "cutoff date").coalesce(1), f"{data_dir}/{CUTOFFS}")
+
+
+def _stored_cutoffs(spark: SparkSession, data_dir: str) -> list[date]:
+    rows = spark.read.schema("cutoff date").parquet(f"{data_dir}/{CUTOFFS}").orderBy("cutoff")
+    return [r.cutoff for r in rows.collect()]
 
 
 def step_summaries(
     spark: SparkSession,
     data_dir: str,
-    cutoffs: Sequence[date | str] | None = None,
     names: Sequence[str] = (*SUPPORTED_ATTRIBUTES, OVERALL),
+    from_panel: bool = False,
 ) -> None:
-    """Summaries by attribute: from the status runs if the cutoffs are given, else from the
-    panel."""
+    """Summaries by attribute: from the status runs of step 2 and their cutoffs, or from the
+    panel where there are none or `from_panel` says so."""
     bag = spark.read.parquet(f"{data_dir}/{ATTRIBUTES}")
-    if cutoffs is not None:
+    cutoffs = [] if from_panel else _stored_cutoffs(spark, data_dir)
+    if cutoffs:
         runs = spark.read.parquet(f"{data_dir}/{RUNS}")
         table = summary.los_summary_of_runs(runs, bag, cutoffs, names)
     else:
-        panel = spark.read.parquet(f"{data_dir}/{PANEL}")
+        panel = spark.read.parquet(f"{data_dir}/{PANEL}").drop("year")
         table = summary.los_summary_all(panel, bag, names)
     _write(table, f"{data_dir}/{SUMMARIES}", "attribute")
 
@@ -103,7 +120,7 @@ def step_report(
 ) -> None:
     """Report dataset of the overall summary and of the named attributes."""
     table = _read_attributes(spark, f"{data_dir}/{SUMMARIES}", [OVERALL, *names])
-    _write(reporting.reporting_dataset(table), f"{data_dir}/{REPORT}")
+    _write(reporting.reporting_dataset(table), f"{data_dir}/{REPORT}", "attribute")
 
 
 def step_annual(
@@ -125,6 +142,6 @@ def run_all(dump: Dump, spark: SparkSession, data_dir: str, cutoffs: Sequence[da
     """All five steps."""
     step_attributes(dump, data_dir)
     step_history(dump, data_dir, cutoffs)
-    step_summaries(spark, data_dir, cutoffs)
+    step_summaries(spark, data_dir)
     step_report(spark, data_dir)
     step_annual(spark, data_dir)

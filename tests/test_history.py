@@ -3,9 +3,11 @@ from collections import Counter
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from regspan.functions.cutoffs import cutoff_dates
+from regspan.operators import attributes, history, summary
 from regspan.operators.history import (
     COUNT_COLUMNS,
     event_history_panel,
@@ -229,3 +231,23 @@ def dump_valid(dump):
     from regspan.operators.samples import valid_registrations
 
     return valid_registrations(dump).select("created").collect()
+
+
+def test_runs_are_tied_to_their_cutoffs(dump):
+    months = cutoff_dates("1999-01-01", "1999-12-01")
+    runs = history.status_runs(dump, months)
+    for other in (months[3:], months[:-1], cutoff_dates("2000-01-01", "2000-12-01")):
+        with pytest.raises(SparkRuntimeException, match="other cutoffs"):
+            history.panel_of_runs(runs, other).collect()
+    bag = attributes.assign_attributes(dump, attributes=["provider"])
+    with pytest.raises(SparkRuntimeException, match="other cutoffs"):
+        summary.los_summary_of_runs(runs, bag, months[1:], ["provider"]).collect()
+
+
+def test_times_of_day_are_refused_in_the_panel_and_kept_in_snapshots(dump):
+    noon = datetime(2000, 3, 15, 12)
+    for snapshot in (None, history.resource_counts_at_date):
+        with pytest.raises(ValueError, match="time of day"):
+            event_history_panel(dump, ["2000-01-01", noon], snapshot=snapshot)
+    midnight = event_history_panel(dump, [datetime(2000, 1, 1), "2000-02-01"])
+    assert midnight.count() == event_history_panel(dump, ["2000-01-01", "2000-02-01"]).count()
