@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from checks.fixtures import fixture_dump
 from checks.oracles import CUTOFF, FIRST_CUTOFF
 from regspan.functions.cutoffs import cutoff_dates
 from regspan.operators import annual, attributes, history, reporting, samples, summary
-from regspan.schemas import OVERALL, VALID_REGISTRATION
+from regspan.schemas import OVERALL, SUPPORTED_ATTRIBUTES, VALID_REGISTRATION
 from regspan.sources.dump import Dump, scan_table
 
 CUTOFFS = cutoff_dates(FIRST_CUTOFF, CUTOFF)
@@ -21,28 +21,38 @@ def _panel(dump: Dump) -> DataFrame:
     return history.event_history_panel(dump, CUTOFFS)
 
 
+def _bag(dump: Dump, attribute: str) -> DataFrame | None:
+    if attribute == OVERALL:
+        return None
+    return attributes.ATTRIBUTE_OPERATORS[attribute](dump, VALID_REGISTRATION)
+
+
 def _summary_of(dump: Dump, attribute: str = OVERALL) -> DataFrame:
-    bag = None
-    if attribute != OVERALL:
-        bag = attributes.ATTRIBUTE_OPERATORS[attribute](dump, VALID_REGISTRATION)
-    return summary.los_summary_by_attribute(_panel(dump), attribute, bag)
+    return summary.los_summary_by_attribute(_panel(dump), attribute, _bag(dump, attribute))
+
 
+def _lines_of(dump: Dump, attribute: str = OVERALL) -> DataFrame:
+    """The same in no order, for what is built on it."""
+    return summary.summary_lines(_panel(dump), attribute, _bag(dump, attribute))
 
-def _summary_all(dump: Dump) -> DataFrame:
+
+def _summary_all(dump: Dump, names: Sequence[str] = SUPPORTED_ATTRIBUTES) -> DataFrame:
+    """Summaries of the overall line and of the named attributes."""
     runs = history.status_runs(dump, CUTOFFS)
-    bag = attributes.assign_attributes(dump, VALID_REGISTRATION)
-    return summary.los_summary_of_runs(runs, bag, CUTOFFS)
+    bag = attributes.assign_attributes(dump, VALID_REGISTRATION, names) if names else None
+    return summary.los_summary_of_runs(runs, bag, CUTOFFS, [*names, OVERALL])
 
 
-def _report(dump: Dump) -> DataFrame:
-    return reporting.reporting_dataset(_summary_all(dump))
+def _report(dump: Dump, names: Sequence[str] = SUPPORTED_ATTRIBUTES) -> DataFrame:
+    return reporting.reporting_dataset(_summary_all(dump, names))
 
 
 def _overall_report(dump: Dump) -> DataFrame:
-    overall = _summary_of(dump).select(
-        F.lit(OVERALL).alias("attribute"), F.lit(None).cast("string").alias("subgroup"), "*"
+    return reporting.reporting_dataset(
+        _lines_of(dump).select(
+            F.lit(OVERALL).alias("attribute"), F.lit(None).cast("string").alias("subgroup"), "*"
+        )
     )
-    return reporting.reporting_dataset(overall)
 
 
 def _spine(dump: Dump) -> DataFrame:
@@ -77,7 +87,7 @@ def _creators(dump: Dump, mode: str) -> DataFrame:
 
 
 def _value_types(dump: Dump) -> DataFrame:
-    with_other = _summary_of(dump, "funded").withColumn("date_rank", F.month("date"))
+    with_other = _lines_of(dump, "funded").withColumn("date_rank", F.month("date"))
     return reporting.value_types(reporting.summary_longform(with_other, "funded"))
 
 
@@ -108,21 +118,23 @@ ON_DUMP: dict[str, Callable[[Dump], DataFrame]] = {
         _panel(dump), attributes.assign_attributes(dump, VALID_REGISTRATION)
     ),
     "los_leaderboard": leaderboard,
-    "latest_snapshot": lambda dump: summary.latest_snapshot(_summary_of(dump)),
+    "latest_snapshot": lambda dump: summary.latest_snapshot(_lines_of(dump), latest=CUTOFFS[-1]),
     "latest_snapshot_institution": lambda dump: summary.latest_snapshot(
-        _summary_of(dump, "institution"), "institution"
+        _lines_of(dump, "institution"), "institution"
     ),
-    "summary_longform": lambda dump: reporting.summary_longform(_summary_of(dump)),
+    "summary_longform": lambda dump: reporting.summary_longform(_lines_of(dump)),
     "summary_longform_institution": lambda dump: reporting.summary_longform(
-        _summary_of(dump, "institution"), "institution"
+        _lines_of(dump, "institution"), "institution"
     ),
     "value_types": _value_types,
     "reporting_dataset": _report,
-    "report_los_today": lambda dump: reporting.report_los_today(_report(dump)),
+    "report_los_today": lambda dump: reporting.report_los_today(
+        _overall_report(dump), CUTOFFS[-1]
+    ),
     "report_los_share_by_institution": lambda dump: reporting.report_los_share_by_institution(
-        _report(dump)
+        _report(dump, ["institution"]), CUTOFFS[-1]
     ),
-    "report_growth_series": lambda dump: reporting.report_growth_series(_report(dump)),
+    "report_growth_series": lambda dump: reporting.report_growth_series(_overall_report(dump)),
     "annual_indicator_pivot": lambda dump: annual.annual_indicator_pivot(_overall_report(dump)),
     "annual_indicator_pivot_by_subgroup": lambda dump: annual.annual_indicator_pivot(
         _report(dump), by_subgroup=True
@@ -141,9 +153,7 @@ def _on_tables(query: Callable[[Dump], DataFrame]) -> Callable[[SparkSession, st
 
 
 def _scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_table(spark, "orders", sf_dir).select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"
-    )
+    return scan_table(spark, "orders", sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

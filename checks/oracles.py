@@ -240,7 +240,7 @@ def _query(sql: str) -> str:
 
 
 _FINAL = {
-    "scan_table": "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders",
+    "scan_table": "SELECT * FROM orders",
     "valid_registrations": "SELECT * FROM valid",
     "sample_filter": f"""SELECT * FROM nodes WHERE type = 'osf.registration'
 AND created >= DATE '2000-01-01' AND provider_id = 2 AND {_VALID}""",

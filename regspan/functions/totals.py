@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Lines that share a total are spread over this many window partitions.
-_SPLITS = 64
-
 
 def with_total(lines: DataFrame, measure: str, within: Sequence[str] = ()) -> DataFrame:
     """Add `total`: the sum of `measure` over all lines that agree in `within`.
@@ -17,8 +14,10 @@ def with_total(lines: DataFrame, measure: str, within: Sequence[str] = ()) -> Da
     A subquery or a join with the totals would compute the lines twice, and a window over
     all of them would be a single task. Here every line also contributes to an extra row
     that is summed on the map side first, and a copy of the finished total travels to each
-    split of the lines. Lines must be distinct.
+    split of the lines. Lines must be distinct. There are as many splits as the session has
+    shuffle partitions.
     """
+    splits = max(1, int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     others = [c for c in lines.columns if c not in within]
     line = F.struct(*(F.col(f"`{c}`") for c in others)).alias("line")
     with_contribution = lines.select(
@@ -26,8 +25,8 @@ def with_total(lines: DataFrame, measure: str, within: Sequence[str] = ()) -> Da
     )
     summed = with_contribution.groupBy(*within, "line").agg(F.sum("total").alias("total"))
     is_total = F.col("line").isNull()
-    everywhere = F.sequence(F.lit(0), F.lit(_SPLITS - 1))
-    one_split = F.array(F.pmod(F.xxhash64("line"), F.lit(_SPLITS)).cast("int"))
+    everywhere = F.sequence(F.lit(0), F.lit(splits - 1))
+    one_split = F.array(F.pmod(F.xxhash64("line"), F.lit(splits)).cast("int"))
     placed = summed.withColumn(
         "split", F.explode(F.when(is_total, everywhere).otherwise(one_split))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,21 +55,24 @@ def reporting_dataset(summary_all: DataFrame) -> DataFrame:
     )
 
 
-def _at_latest_date(report: DataFrame) -> DataFrame:
-    return report.where(F.col("date") == report.select(F.max("date")).scalar())
+def _at_latest_date(report: DataFrame, latest: date | None) -> DataFrame:
+    """Rows of the latest date; looked for in the report unless it is known."""
+    found = F.lit(latest) if latest else report.select(F.max("date")).scalar()
+    return report.where(F.col("date") == found)
 
 
-def report_los_today(report: DataFrame) -> DataFrame:
-    """Overall LOS lines at the latest date."""
-    return _at_latest_date(report).where(
+def report_los_today(report: DataFrame, latest: date | None = None) -> DataFrame:
+    """Overall LOS lines at the latest date. A report of the overall lines is enough."""
+    return _at_latest_date(report, latest).where(
         (F.col("attribute") == OVERALL) & (F.col("metric") == "los")
     )
 
 
-def report_los_share_by_institution(report: DataFrame) -> DataFrame:
-    """LOS share per institution at the latest date, largest first."""
+def report_los_share_by_institution(report: DataFrame, latest: date | None = None) -> DataFrame:
+    """LOS share per institution at the latest date, largest first. A report of the
+    institutions is enough."""
     return (
-        _at_latest_date(report)
+        _at_latest_date(report, latest)
         .where(
             (F.col("attribute") == "institution")
             & (F.col("metric") == "los")

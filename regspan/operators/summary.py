@@ -73,17 +73,13 @@ def _weighted(bag: DataFrame, *columns: str) -> DataFrame:
     return bag.groupBy("node_id", *columns).agg(F.count("*").alias("weight"))
 
 
-def los_summary_by_attribute(
+def summary_lines(
     panel: DataFrame,
     attribute: str = OVERALL,
     bag: DataFrame | None = None,
     share_within: Sequence[str] = (),
 ) -> DataFrame:
-    """Counts and shares of a panel by date and one attribute, largest LOS share first.
-
-    `bag` holds (node_id, <attribute>). Registrations without a row there count under NULL.
-    "overall" groups by date only.
-    """
+    """`los_summary_by_attribute` in no order: what other operators build on."""
     flags = panel.select("node_id", "date", *(f.alias(c) for c, f in _flags().items()))
     if attribute == OVERALL:
         keys, weight = ["date"], F.lit(1)
@@ -93,8 +89,21 @@ def los_summary_by_attribute(
         flags = flags.join(_weighted(bag, attribute), "node_id", "left")
         keys, weight = [attribute, "date"], F.coalesce("weight", F.lit(1))
     counts = flags.groupBy(*keys).agg(*(F.sum(F.col(c) * weight).alias(c) for c in COUNTS))
-    shares = _with_shares(counts, share_within)
-    return shares.orderBy(F.desc("prop_los")).select(*keys, *COUNTS, *SHARES)
+    return _with_shares(counts, share_within).select(*keys, *COUNTS, *SHARES)
+
+
+def los_summary_by_attribute(
+    panel: DataFrame,
+    attribute: str = OVERALL,
+    bag: DataFrame | None = None,
+    share_within: Sequence[str] = (),
+) -> DataFrame:
+    """Counts and shares of a panel by date and one attribute, largest LOS share first.
+
+    `bag` holds (node_id, <attribute>). Registrations without a row there count under NULL.
+    "overall" groups by date only.
+    """
+    return summary_lines(panel, attribute, bag, share_within).orderBy(F.desc("prop_los"))
 
 
 def _check_attributes(attributes: Sequence[str]) -> list[str]:
@@ -116,6 +125,11 @@ def _count_by_subgroup(
     registrations less the sum over those that have rows for the attribute, and the one join
     made anyway yields both. "overall" is the attribute no registration has rows for.
     """
+    if set(attributes) == {OVERALL}:
+        sums = (F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS)
+        nobody = F.lit(None).cast("string").alias("subgroup")
+        overall = rows.groupBy(time).agg(*sums)
+        return overall.select(F.lit(OVERALL).alias("attribute"), nobody, time, *COUNTS)
     # A registration has at most as many of these rows as the report has lines.
     weighted = _weighted(
         bag.where(F.col("attribute").isin(*attributes)), "attribute", "subgroup"
@@ -167,12 +181,12 @@ def _finish_all(counts: DataFrame) -> DataFrame:
 
 def los_summary_all(
     panel: DataFrame,
-    bag: DataFrame,
+    bag: DataFrame | None,
     attributes: Sequence[str] = (*SUPPORTED_ATTRIBUTES, OVERALL),
 ) -> DataFrame:
     """`los_summary_by_attribute` for several attributes in one table.
 
-    `bag` holds (node_id, attribute, subgroup). The panel is read once.
+    `bag` holds (node_id, attribute, subgroup); overall alone needs none. The panel is read once.
     """
     attributes = _check_attributes(attributes)
     flags = panel.select("node_id", "date", *(f.alias(c) for c, f in _flags().items()))
@@ -193,7 +207,7 @@ def _flag_changes(runs: DataFrame) -> DataFrame:
 
 def los_summary_of_runs(
     runs: DataFrame,
-    bag: DataFrame,
+    bag: DataFrame | None,
     cutoffs: Sequence[date | str],
     attributes: Sequence[str] = (*SUPPORTED_ATTRIBUTES, OVERALL),
 ) -> DataFrame:
@@ -237,9 +251,14 @@ def los_leaderboard(attribute_bag: DataFrame, counts: DataFrame, attribute: str)
     )
 
 
-def latest_snapshot(summary: DataFrame, attribute: str | None = None) -> DataFrame:
-    """Summary lines of the latest date with the measures shown in tables."""
-    latest = summary.select(F.max("date")).scalar()
+def latest_snapshot(
+    summary: DataFrame, attribute: str | None = None, latest: date | None = None
+) -> DataFrame:
+    """Summary lines of the latest date with the measures shown in tables.
+
+    Where the latest date is known, naming it saves looking for it in the finished lines.
+    """
+    latest = F.lit(latest) if latest else summary.select(F.max("date")).scalar()
     return summary.where(F.col("date") == latest).select(
         *([attribute] if attribute else []),
         "n_osr",
