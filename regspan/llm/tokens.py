@@ -17,11 +17,18 @@ from collections.abc import Callable
 _UNUSUAL_SPACE = re.compile(
     r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
 )
+_SPACE, _MARK = r"\x20\t-\r", r"!-&(-/:-@\[-`{-~"  # ASCII; an apostrophe is no mark
+# A plain word before white space or a mark; the marks behind it; any other run.
 _PIECE = {
     # white space belongs to the ids: it leads the piece that follows it
-    "keep": re.compile(r"[\x20\t-\r]*[^\x20\t-\r]+|[\x20\t-\r]+"),
+    "keep": re.compile(
+        rf"[{_SPACE}]*[A-Za-z]+(?=[{_SPACE}{_MARK}])|(?<=[A-Za-z])[{_MARK}]+(?=[{_SPACE}])"
+        rf"|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+"
+    ),
     # white space is dropped by the tokenizer
-    "drop": re.compile(r"[^\x20\t-\r]+"),
+    "drop": re.compile(
+        rf"[A-Za-z]+(?=[{_SPACE}{_MARK}])|(?<=[A-Za-z])[{_MARK}]+(?=[{_SPACE}])|[^{_SPACE}]+"
+    ),
 }
 # Punctuation behind a letter always starts a new unit, an apostrophe apart.
 _TAIL = re.compile(r"(.*[A-Za-z])([!-&(-/:-@\[-`{-~]+)", re.S)
@@ -41,10 +48,14 @@ def _visible_bytes() -> dict[int, str]:
     return {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class Encoder:
-    """Ids of a text as bytes: unsigned 32-bit little-endian numbers."""
+class Encoder(dict):
+    """Ids of a text as bytes: unsigned 32-bit little-endian numbers.
+
+    The dictionary holds the younger generation of pieces; what is missing is made on demand.
+    """
 
     def __init__(self, path: str, space: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -53,72 +64,50 @@ class Encoder:
         self._drops = space == "drop"
         self._find = _PIECE[space].findall
         self._visible = _visible_bytes()
-        self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self._library.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", x.ids).tobytes() for x in found]
+    def _whole(self, text: str) -> bytes:
+        return array("I", self._library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _word(self, piece: str) -> bytes:
+    def _word(self, piece: str) -> bytes | None:
         """A piece of letters, with one space before it where spaces count: one unit.
 
         The library's model is asked at once, without the steps that find units.
         """
+        if not piece.isalpha() and (self._drops or piece[0] != " " or not piece[1:].isalpha()):
+            return None
+        if self._drops and piece.isascii():
+            piece = piece.lower()
+        elif self._drops:
+            lower = "".join(map(str.lower, piece))
+            # Lower case may add marks that are no letters.
+            if not (unicodedata.is_normalized("NFC", piece) and lower.isalpha()):
+                return None
+            piece = lower
         data = piece.encode().decode("latin-1").translate(self._visible)
         return array("I", [t.id for t in self._units(data)]).tobytes()
 
-    def _is_word(self, piece: str) -> bool:
-        if self._drops:
-            # Lower case may add marks that are no letters.
-            return piece.isalpha() and (
-                piece.isascii()
-                or unicodedata.is_normalized("NFC", piece)
-                and "".join(map(str.lower, piece)).isalpha()
-            )
-        return piece.isalpha() or piece[0] == " " and piece[1:].isalpha()
-
-    def _learn(self, missing: set[str]) -> None:
-        """Fill the young generation with the pieces missing there."""
-        young, old = self._young, self._old
-        cut: dict[str, tuple[str, str]] = {}
-        ask: list[str] = []
-        for piece in missing:
-            if piece in old:
-                young[piece] = old[piece]
-                continue
+    def __missing__(self, piece: str) -> bytes:
+        ids = self._old.get(piece)
+        if ids is None:
+            ids = self._word(piece)
+        if ids is None:
             parts = _TAIL.fullmatch(piece) if "<|" not in piece else None
-            for part in parts.groups() if parts else (piece,):
-                if part in young:
-                    continue
-                if part in old:
-                    young[part] = old[part]
-                elif self._is_word(part):
-                    lower = "".join(map(str.lower, part)) if self._drops else part
-                    young[part] = self._word(lower)
-                else:
-                    ask.append(part)
-            if parts:
-                cut[piece] = parts.groups()
-        if ask:
-            young.update(zip(ask, self._whole(ask)))
-        for piece, (core, tail) in cut.items():
-            young[piece] = young[core] + young[tail]
+            ids = self[parts[1]] + self[parts[2]] if parts else self._whole(piece)
+        self[piece] = ids
+        return ids
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
         if _UNUSUAL_SPACE.search(text):
-            return self._whole([text])[0]
-        if len(self._young) > _GENERATION:
-            self._old, self._young = self._young, {}
+            return self._whole(text)
+        if len(self) > _GENERATION:
+            self._old = dict(self)
+            self.clear()
         if self._drops and "<|" not in text:  # such marks are special in lower case only
             text = text.encode().lower().decode()  # A to Z
-        pieces = self._find(text)
-        missing = set(pieces).difference(self._young)
-        if missing:
-            self._learn(missing)
-        return b"".join(map(self._young.__getitem__, pieces))
+        return b"".join(map(self.__getitem__, self._find(text)))
 
 
 def encoder(path: str, space: str) -> Callable[[str | None], bytes]:

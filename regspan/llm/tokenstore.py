@@ -265,8 +265,11 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID
     blocks.write.option("compression", "none").parquet(f"{path}/blocks")
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of a store: doc_id, start, n_tokens, ids_crc32, ids (32-bit little-endian)."""
+def read_store(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """Documents of a store: doc_id, start, n_tokens, ids_crc32, ids (32-bit little-endian).
+
+    All ids are decoded in any case; without `with_ids` they are not returned.
+    """
     import numpy as np
 
     rows = spark.read.parquet(f"{path}/codebook").collect()  # at most the vocabulary
@@ -285,17 +288,18 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
                 at, out = 0, []
                 for doc_id, size in zip(block["doc_ids"], block["doc_sizes"]):
                     part = data[4 * at : 4 * (at + size)]
-                    out.append((doc_id, block["start"] + at, size, zlib.crc32(part), part))
+                    row = doc_id, block["start"] + at, size, zlib.crc32(part)
+                    out.append((*row, part) if with_ids else row)
                     at += size
                 types = [pa.int64()] * 4 + [pa.binary()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), types)],
-                    ["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
+                    [pa.array(c, t) for c, t in zip(zip(*out), types)], names
                 )
 
-    return spark.read.parquet(f"{path}/blocks").mapInArrow(
-        unpack, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
-    )
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
+    schema += ", ids binary" if with_ids else ""
+    names = [c.split()[0] for c in schema.split(", ")]
+    return spark.read.parquet(f"{path}/blocks").mapInArrow(unpack, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -304,4 +308,4 @@ def query(spark, sf_dir: str) -> DataFrame:
 
     path = f"{scratch_dir(spark)}/tokens-{uuid.uuid4().hex}"
     write_store(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
-    return read_store(spark, path).drop("ids")
+    return read_store(spark, path, with_ids=False)
