@@ -48,6 +48,7 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _BOUND = 4.0  # of the score of a word
 _DECISIVE = 1.2  # score of an element that settles what is below it
 _SMOOTH = 0.1
+_UNKNOWN = 0.1  # a word of which nothing is known is rather main text
 _OUTSIDE = 0.25  # a word outside main text weighs so much less
 _MANY_LINKS = 0.5
 
@@ -179,7 +180,7 @@ def word_score(block: Block, weights: Weights) -> float:
     def of(features: frozenset[str]) -> float:
         return max(-_BOUND, min(_BOUND, sum(known.get(f, 0.0) for f in features)))
 
-    score = of(block.own)
+    score = _UNKNOWN + of(block.own)
     for features in reversed(block.around):
         around = of(features)
         score += around
