@@ -23,12 +23,14 @@ _SALTS = 64  # parts over which rows of one source are joined to its plan
 
 
 def _hash(doc_id: Column) -> Column:
-    return F.xxhash64(doc_id)
+    """60 bits of the MD5 of the id as text: the same in every engine. NULL counts as ''."""
+    digits = F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, 15)
+    return F.conv(digits, 16, 10).cast("long")
 
 
 def _prefix(level: int) -> Column:
-    """The first bits of the hash, as a number that is never negative."""
-    return F.shiftrightunsigned("hash", 64 - _BITS * level)
+    """The first bits of the hash as a number."""
+    return F.shiftright("hash", _BITS * (_LEVELS - level))
 
 
 def _measured(docs: DataFrame) -> dict[str, Column]:
