@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from regspan.llm import (
-    ann, html, minhash, mixing, packing, quality, rules, secrets, suffixes, tokenstore,
+    ann, html, minhash, mixing, oracles, packing, quality, rules, secrets, suffixes, tokenstore,
 )
 
 
@@ -29,4 +29,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
