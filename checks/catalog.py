@@ -24,7 +24,7 @@ def _panel(dump: Dump) -> DataFrame:
 def _bag(dump: Dump, attribute: str) -> DataFrame | None:
     if attribute == OVERALL:
         return None
-    return attributes.ATTRIBUTE_OPERATORS[attribute](dump, VALID_REGISTRATION)
+    return attributes.weighted_attribute(dump, attribute, VALID_REGISTRATION)
 
 
 def _summary_of(dump: Dump, attribute: str = OVERALL) -> DataFrame:
@@ -39,7 +39,7 @@ def _lines_of(dump: Dump, attribute: str = OVERALL) -> DataFrame:
 def _summary_all(dump: Dump, names: Sequence[str] = SUPPORTED_ATTRIBUTES) -> DataFrame:
     """Summaries of the overall line and of the named attributes."""
     runs = history.status_runs(dump, CUTOFFS)
-    bag = attributes.assign_attributes(dump, VALID_REGISTRATION, names) if names else None
+    bag = attributes.assign_attributes(dump, VALID_REGISTRATION, names, weights=True)
     return summary.los_summary_of_runs(runs, bag, CUTOFFS, [*names, OVERALL])
 
 
@@ -72,10 +72,10 @@ def _summarizer(dump: Dump) -> DataFrame:
     return summary.los_summarizer(joined, "provider", "date", threshold=0.005)
 
 
-def leaderboard(dump: Dump) -> DataFrame:
+def leaderboard(dump: Dump, cutoff: str = CUTOFF) -> DataFrame:
     return summary.los_leaderboard(
-        attributes.reg_institution(dump),
-        history.resource_counts_at_date(dump, CUTOFF),
+        attributes.weighted_attribute(dump, "institution"),
+        history.resource_counts_at_date(dump, cutoff),
         "institution",
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def left_join_many(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
@@ -16,3 +17,17 @@ def left_join_many(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
     matched = one.join(many, key)
     unmatched = one.join(many.select(key).distinct(), key, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
+def left_join_counted(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
+    """The same with repeated rows of `many` as one row and their number as `weight`.
+
+    Rows are counted on the map side before they meet `one`, so a key has no more of them than
+    there are different values. A plain left join is enough then, also under an aggregate
+    by the same key, which would keep a hot key of a larger join together. Rows of `one` without
+    a match have weight 1. Both inputs are read once.
+    """
+    counted = many.groupBy(*many.columns).agg(F.count(F.lit(1)).alias("weight"))
+    return one.join(counted, key, "left").withColumn(
+        "weight", F.coalesce("weight", F.lit(1).cast("long"))
+    )

@@ -6,13 +6,13 @@ funders has two rows, and repeated source rows stay repeated unless `distinct` i
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regspan.functions.columns import mined_key
-from regspan.functions.joins import left_join_many
+from regspan.functions.joins import left_join_counted, left_join_many
 from regspan.operators.samples import Sample, nodes, sample_filter
 from regspan.schemas import (
     AFFILIATED,
@@ -27,6 +27,9 @@ from regspan.schemas import (
 from regspan.sources.dump import Dump
 
 
+Join = Callable[[DataFrame, DataFrame, str], DataFrame]
+
+
 def _bag(df: DataFrame, attribute: str, value: Column, distinct: bool) -> DataFrame:
     bag = df.select("node_id", value.alias(attribute))
     return bag.distinct() if distinct else bag
@@ -56,16 +59,18 @@ def funder_metadata(dump: Dump, cache_path: str | None = None) -> DataFrame:
     return named.sparkSession.read.parquet(cache_path)
 
 
-def _funders(dump: Dump, sample: Sample) -> DataFrame:
+def _funders(dump: Dump, sample: Sample, join: Join = left_join_many) -> DataFrame:
     guids = dump["guids"].where(F.col("content_type_id") == GUID_OF_NODE).select(
         F.col("id").alias("record_id"), F.col("object_id").alias("node_id")
     )
     funders = funder_metadata(dump).select("record_id", "funder").join(guids, "record_id")
     registrations = nodes(dump, sample).select(F.col("id").alias("node_id"))
-    return left_join_many(registrations, funders.select("node_id", "funder"), "node_id")
+    return join(registrations, funders.select("node_id", "funder"), "node_id")
 
 
-def _institutions(dump: Dump, sample: Sample, nodetype: str = "registration") -> DataFrame:
+def _institutions(
+    dump: Dump, sample: Sample, nodetype: str = "registration", join: Join = left_join_many
+) -> DataFrame:
     institutions = dump["institutions"].select(
         F.col("id").alias("institution_id"), F.col("name").alias("institution")
     )
@@ -74,10 +79,10 @@ def _institutions(dump: Dump, sample: Sample, nodetype: str = "registration") ->
         F.col("abstractnode_id").alias("node_id"), "institution_id"
     ).join(institutions, "institution_id", "left")
     base = nodes(dump, sample, nodetype).select(F.col("id").alias("node_id"))
-    return left_join_many(base, affiliations.select("node_id", "institution"), "node_id")
+    return join(base, affiliations.select("node_id", "institution"), "node_id")
 
 
-def _subjects(dump: Dump, sample: Sample) -> DataFrame:
+def _subjects(dump: Dump, sample: Sample, join: Join = left_join_many) -> DataFrame:
     subjects = dump["subjects"].select(
         F.col("id").alias("subject_id"), F.col("text").alias("subject"), "parent_id"
     )
@@ -85,9 +90,7 @@ def _subjects(dump: Dump, sample: Sample) -> DataFrame:
         F.col("abstractnode_id").alias("node_id"), "subject_id"
     ).join(subjects, "subject_id", "left")
     registrations = nodes(dump, sample).select(F.col("id").alias("node_id"))
-    return left_join_many(
-        registrations, assigned.select("node_id", "subject", "parent_id"), "node_id"
-    )
+    return join(registrations, assigned.select("node_id", "subject", "parent_id"), "node_id")
 
 
 def _funder() -> Column:
@@ -242,13 +245,27 @@ def _entries(wanted: Sequence[str]) -> Column:
     return F.when(F.col("parent_id").isNull(), with_parent).otherwise(lower)
 
 
+def weighted_attribute(dump: Dump, attribute: str, sample: Sample = None) -> DataFrame:
+    """One attribute as (node_id, <attribute>, weight): the bag with repeated rows counted.
+
+    What summaries need: source rows are counted before they meet the registrations.
+    """
+    tall = assign_attributes(dump, sample, [attribute], weights=True)
+    return tall.select("node_id", F.col("subgroup").alias(attribute), "weight")
+
+
 def assign_attributes(
-    dump: Dump, sample: Sample = None, attributes: Sequence[str] = SUPPORTED_ATTRIBUTES
+    dump: Dump,
+    sample: Sample = None,
+    attributes: Sequence[str] = SUPPORTED_ATTRIBUTES,
+    weights: bool = False,
 ) -> DataFrame:
     """All attributes as one tall bag (node_id, attribute, subgroup).
 
-    Attributes that come from the same joins share them.
+    Attributes that come from the same joins share them. With `weights` repeated rows are
+    counted in a further column `weight`, which summaries take as well.
     """
+    join, weight = (left_join_counted, ["weight"]) if weights else (left_join_many, [])
     unknown = set(attributes) - set(SUPPORTED_ATTRIBUTES)
     if unknown or not attributes:
         raise ValueError(f"unknown attributes: {sorted(unknown)}" if unknown else "no attributes")
@@ -256,7 +273,8 @@ def assign_attributes(
     for pair, source in _SHARED_JOINS.items():
         wanted = [a for a in pair if a in attributes]
         if wanted:
-            parts.append(source(dump, sample).select("node_id", F.inline(_entries(wanted))))
+            rows = source(dump, sample, join=join)
+            parts.append(rows.select("node_id", F.inline(_entries(wanted)), *weight))
     for attribute in ("template", "provider"):
         if attribute in attributes:
             bag = ATTRIBUTE_OPERATORS[attribute](dump, sample)
@@ -265,6 +283,7 @@ def assign_attributes(
                     "node_id",
                     F.lit(attribute).alias("attribute"),
                     F.col(attribute).alias("subgroup"),
+                    *(F.lit(1).cast("long").alias(w) for w in weight),
                 )
             )
     tall = parts[0]

@@ -68,9 +68,10 @@ def los_summarizer(
 
 
 def _weighted(bag: DataFrame, *columns: str) -> DataFrame:
-    """A bag with repeated rows counted. A registration then has no more rows than the report
-    has lines, whatever the bag repeats."""
-    return bag.groupBy("node_id", *columns).agg(F.count("*").alias("weight"))
+    """A bag with repeated rows counted, if they have no weight already. A registration then has
+    no more rows than the report has lines, whatever the bag repeats."""
+    weight = F.sum("weight") if "weight" in bag.columns else F.count("*")
+    return bag.groupBy("node_id", *columns).agg(weight.alias("weight"))
 
 
 def summary_lines(
