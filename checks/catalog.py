@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixtures import fixture_dump
-from checks.oracles import CUTOFF, FIRST_CUTOFF
+from checks.oracles import CUTOFF, FIRST_CUTOFF, FIRST_MID_CUTOFF, MID_CUTOFF
 from regspan.functions.cutoffs import cutoff_dates
 from regspan.operators import annual, attributes, history, reporting, samples, summary
 from regspan.schemas import OVERALL, SUPPORTED_ATTRIBUTES, VALID_REGISTRATION
 from regspan.sources.dump import Dump, scan_table
 
 CUTOFFS = cutoff_dates(FIRST_CUTOFF, CUTOFF)
+MID_CUTOFFS = cutoff_dates(FIRST_MID_CUTOFF, MID_CUTOFF)
 
 
 def _panel(dump: Dump) -> DataFrame:
@@ -91,6 +93,22 @@ def _value_types(dump: Dump) -> DataFrame:
     return reporting.value_types(reporting.summary_longform(with_other, "funded"))
 
 
+def _share_within_date(dump: Dump) -> DataFrame:
+    return summary.summary_lines(
+        _panel(dump), "institution", _bag(dump, "institution"), share_within=["date"]
+    )
+
+
+def _written_and_read(dump: Dump) -> DataFrame:
+    """All years written, one of them again, and what is then there."""
+    table = annual.annual_indicator_pivot(_overall_report(dump))
+    spark = table.sparkSession
+    path = f"{spark.conf.get('spark.sql.warehouse.dir')}/annual-{uuid.uuid4().hex}"
+    annual.annual_report_sink(table, path)
+    annual.annual_report_sink(table.where(F.col("year") == CUTOFFS[-1].year), path)
+    return spark.read.parquet(path).select(table.columns)
+
+
 def _attribute_query(name: str) -> Callable[[Dump], DataFrame]:
     return lambda dump: attributes.ATTRIBUTE_OPERATORS[name](dump, VALID_REGISTRATION)
 
@@ -148,6 +166,26 @@ ON_DUMP: dict[str, Callable[[Dump], DataFrame]] = {
 }
 
 
+ON_DUMP |= {
+    "resource_history_mid": lambda dump: history.resource_history(dump, MID_CUTOFF),
+    "resource_counts_at_date_mid": lambda dump: history.resource_counts_at_date(dump, MID_CUTOFF),
+    "los_leaderboard_mid": lambda dump: leaderboard(dump, MID_CUTOFF),
+    "event_history_panel_mid": lambda dump: history.event_history_panel(dump, MID_CUTOFFS),
+    "history_of_one_registration": lambda dump: history.event_history_panel(
+        dump, MID_CUTOFFS, [*VALID_REGISTRATION, F.col("id") == 33], small_sample=True
+    ),
+    "resource_counts_at_date_null_as_zero": lambda dump: history.resource_counts_at_date(
+        dump, CUTOFF, null_as_zero=True
+    ),
+    "los_summary_share_within_date": _share_within_date,
+    "reg_subject_distinct": lambda dump: attributes.reg_subject(
+        dump, VALID_REGISTRATION, distinct=True
+    ),
+    "reg_provider_of_nodes": lambda dump: attributes.reg_provider(dump, nodetype="node"),
+    "annual_report_sink": _written_and_read,
+}
+
+
 def _on_tables(query: Callable[[Dump], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: query(fixture_dump(spark, sf_dir))
 

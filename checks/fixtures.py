@@ -30,8 +30,7 @@ SELECT o_orderkey AS id,
     ELSE concat('{"schema": "5', substr(md5(o_orderpriority),1,23), '"}') END AS registered_meta
 FROM orders""",
     "templates": """
-SELECT row_number() OVER (ORDER BY p) AS id, concat('5', substr(md5(p),1,23)) AS _id, p AS name,
-  1 AS schema_version, true AS active, true AS visible
+SELECT concat('5', substr(md5(p),1,23)) AS _id, p AS name
 FROM (SELECT DISTINCT o_orderpriority AS p FROM orders
       WHERE o_orderpriority <> '4-NOT SPECIFIED') t""",
     "guids": """
@@ -68,7 +67,7 @@ FROM lineitem WHERE l_linenumber <= 3""",
     "logs": """
 SELECT l_orderkey AS node_id,
   CASE WHEN l_linenumber = 7 THEN 'node_updated' ELSE 'resource_identifier_added' END AS action,
-  l_shipdate AS created,
+  CASE WHEN l_linenumber % 2 = 0 THEN l_shipdate + INTERVAL 13 HOUR ELSE l_shipdate END AS created,
   concat('{"artifact_id": "5', substr(md5(concat(CAST(l_orderkey AS STRING), '-',
     CAST(l_linenumber AS STRING))),1,23), '"}') AS params
 FROM lineitem""",

@@ -10,6 +10,9 @@ from checks.fixtures import VIEWS
 
 CUTOFF = "2001-12-01"
 FIRST_CUTOFF = "1999-01-01"
+# Inside the data, so that much of it is cut off; log rows there have times of day.
+MID_CUTOFF = "2000-06-15"
+FIRST_MID_CUTOFF = "1999-03-15"
 
 _VALID = """is_public AND deleted IS NULL AND registered_date IS NOT NULL
  AND moderation_state = 'accepted' AND (spam_status <> 2 OR spam_status IS NULL)"""
@@ -307,5 +310,35 @@ WHERE attribute = 'overall' AND metric = 'los' AND value_type = 'count' AND mome
 }
 
 
+_ZEROS = ("linked_outputs", "linked_outcomes", "total_resources", "net_resources",
+  "net_outputs", "net_outcomes", "is_los", "removed_outputs", "removed_outcomes")
+
+_OPTIONS = {
+    "resource_counts_at_date_null_as_zero": "SELECT * REPLACE ("
+    + ", ".join(f"coalesce({c}, 0) AS {c}" for c in _ZEROS)
+    + ") FROM counts",
+    "los_summary_share_within_date": """SELECT * REPLACE (
+  n_osr / (sum(n_osr) OVER (PARTITION BY date))::DOUBLE AS prop_osr) FROM summary_institution""",
+    "reg_subject_distinct": "SELECT DISTINCT * FROM attr_subject",
+    "reg_provider_of_nodes": """SELECT n.id AS node_id, providers.name AS provider
+FROM nodes n LEFT JOIN providers ON providers.id = provider_id WHERE type = 'osf.node'""",
+    "annual_report_sink": "SELECT * FROM annual",
+}
+
+# The same by definition, at cutoffs inside the data.
+_MID = {
+    "resource_history_mid": "SELECT * FROM history",
+    "resource_counts_at_date_mid": "SELECT * FROM counts",
+    "los_leaderboard_mid": _FINAL["los_leaderboard"],
+    "event_history_panel_mid": "SELECT * FROM panel",
+    "history_of_one_registration": "SELECT * FROM panel WHERE node_id = 33",
+}
+
+
+def _at_mid(sql: str) -> str:
+    return sql.replace(CUTOFF, MID_CUTOFF).replace(FIRST_CUTOFF, FIRST_MID_CUTOFF)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: _query(sql) for name, sql in _FINAL.items()}
+    plain = {name: _query(sql) for name, sql in {**_FINAL, **_OPTIONS}.items()}
+    return plain | {name: _at_mid(_query(sql)) for name, sql in _MID.items()}
