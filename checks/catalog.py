@@ -171,8 +171,8 @@ ON_DUMP |= {
     "resource_counts_at_date_mid": lambda dump: history.resource_counts_at_date(dump, MID_CUTOFF),
     "los_leaderboard_mid": lambda dump: leaderboard(dump, MID_CUTOFF),
     "event_history_panel_mid": lambda dump: history.event_history_panel(dump, MID_CUTOFFS),
-    "history_of_one_registration": lambda dump: history.event_history_panel(
-        dump, MID_CUTOFFS, [*VALID_REGISTRATION, F.col("id") == 33], small_sample=True
+    "history_of_few_registrations": lambda dump: history.event_history_panel(
+        dump, MID_CUTOFFS, [*VALID_REGISTRATION, F.col("id").isin(660, 717)], small_sample=True
     ),
     "resource_counts_at_date_null_as_zero": lambda dump: history.resource_counts_at_date(
         dump, CUTOFF, null_as_zero=True

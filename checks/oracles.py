@@ -331,7 +331,7 @@ _MID = {
     "resource_counts_at_date_mid": "SELECT * FROM counts",
     "los_leaderboard_mid": _FINAL["los_leaderboard"],
     "event_history_panel_mid": "SELECT * FROM panel",
-    "history_of_one_registration": "SELECT * FROM panel WHERE node_id = 33",
+    "history_of_few_registrations": "SELECT * FROM panel WHERE node_id IN (660, 717)",
 }
 
 
