@@ -83,6 +83,36 @@ def test_hot_key_on_the_right_is_split(spark, few_large):
         assert "skew=true" not in plan(plain)
 
 
+def test_attribute_rows_are_counted_before_they_meet_the_registrations(spark, dump):
+    """A hot registration then has no more rows than there are values, in each of these."""
+    with settings(spark, {**NO_BROADCAST, "spark.sql.adaptive.enabled": "false"}):
+        for name in ("los_leaderboard", "los_summary_by_attribute_institution"):
+            text = plan(ON_DUMP[name](dump))
+            assert "LeftAnti" not in text
+            assert "partial_count(1)" in text
+        text = plan(attributes.assign_attributes(dump, attributes=["funder", "funded"], weights=True))
+        assert text.count("funding_info") and text.count("from_json") <= 2
+
+
+def test_weights_equal_counted_bags(spark, dump):
+    names = ["institution", "funder", "subject", "subject_parent", "provider"]
+    plain = attributes.assign_attributes(dump, attributes=names)
+    counted = attributes.assign_attributes(dump, attributes=names, weights=True)
+    keys = ["node_id", "attribute", "subgroup"]
+    expected = plain.groupBy(*keys).agg(F.count("*").alias("weight"))
+    assert bag(counted.groupBy(*keys).agg(F.sum("weight").alias("weight"))) == bag(expected)
+
+
+def test_overall_reports_read_three_tables_only(spark, dump):
+    with settings(spark, {**NO_BROADCAST, "spark.sql.adaptive.enabled": "false"}):
+        for name in ("report_los_today", "report_growth_series"):
+            assert plan(ON_DUMP[name](dump)).count("FileScan parquet") == 3, name
+        text = plan(ON_DUMP["report_los_share_by_institution"](dump))
+        assert "funding_info" not in text and "l_suppkey" not in text
+        for name in ("annual_indicator_pivot", "summary_longform", "latest_snapshot"):
+            assert "Exchange rangepartitioning" not in plan(ON_DUMP[name](dump)), name
+
+
 def test_filters_and_columns_reach_the_scan(spark, dump, tmp_path):
     for table in ("nodes", "logs", "artifacts"):
         dump[table].write.parquet(f"{tmp_path}/{TABLE_FILES[table]}.parquet")
