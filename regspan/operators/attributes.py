@@ -191,7 +191,9 @@ def reg_creator(
         raise ValueError("creator_filter_mode must be 'left' or 'semi'")
     base = nodes(dump, sample, nodetype).select(F.col("id").alias("node_id"), "creator_id")
     if creator_filter_mode == "left":
-        # A left join to the primary key of the users adds no rows and no columns.
+        # A left join to the primary key of the users adds no rows and no columns. The sample
+        # is resolved all the same, so that a wrong column is an error in both modes.
+        sample_filter(dump["users"], creator_sample)
         return base
     users = sample_filter(dump["users"], creator_sample).select(F.col("id").alias("creator_id"))
     return base.join(users, "creator_id", "left_semi").select("node_id", "creator_id")

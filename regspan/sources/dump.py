@@ -18,8 +18,20 @@ _FAMILIES = {
 }
 
 
+_UTC = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
+
+def _check_zone(df: DataFrame, table: str) -> None:
+    """Cutoffs are days of UTC; a zoned column compared in another zone would move them."""
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    zoned = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
+    if zoned and zone not in _UTC:
+        raise ValueError(f"table {table}: {zoned[0]} has a time zone, so the session must be in UTC, not {zone}")
+
+
 def check_columns(df: DataFrame, table: str) -> DataFrame:
-    """Keep the declared columns of `table`; raise if one is missing or of another kind."""
+    """Keep the declared columns of `table`; raise if one is missing or of another kind,
+    or holds zoned times in a session that is not in UTC."""
     found = {field.name: field.dataType for field in df.schema}
     problems = []
     for column, family in TABLE_COLUMNS[table].items():
@@ -29,7 +41,9 @@ def check_columns(df: DataFrame, table: str) -> DataFrame:
             problems.append(f"{column} is {found[column].simpleString()}, expected {family}")
     if problems:
         raise ValueError(f"table {table}: " + "; ".join(problems))
-    return df.select(*(f"`{column}`" for column in TABLE_COLUMNS[table]))
+    declared = df.select(*(f"`{column}`" for column in TABLE_COLUMNS[table]))
+    _check_zone(declared, table)
+    return declared
 
 
 def scan_table(spark: SparkSession, table: str, base_dir: str | None = None) -> DataFrame:

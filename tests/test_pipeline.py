@@ -66,6 +66,19 @@ def test_zoned_timestamps_and_small_keys_are_accepted(spark, dump, tmp_path):
     )
 
 
+def test_zoned_timestamps_need_a_session_in_utc(spark, dump, tmp_path):
+    nodes = dump["nodes"].withColumn("created", F.col("created").cast("timestamp"))
+    nodes.write.parquet(f"{tmp_path}/{TABLE_FILES['nodes']}.parquet")
+    dump["logs"].write.parquet(f"{tmp_path}/{TABLE_FILES['logs']}.parquet")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.raises(ValueError, match="session must be in UTC"):
+            scan_table(spark, "nodes", str(tmp_path))
+        scan_table(spark, "logs", str(tmp_path))  # without a zone any session will do
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_all_steps(spark, stored, dump, tmp_path):
     data = str(tmp_path)
     pipeline.run_all(stored, spark, data, CUTOFFS)

@@ -3,14 +3,18 @@
 import pytest
 
 import __spark_entry__ as contract
+from checks import catalog, oracles
 from checks.compare import differences, duckdb_on
+from checks.fixtures import fixture_dump
+from regspan.schemas import TABLE_FILES
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = oracles.oracle_sql()
 
 
-def test_every_query_has_sql():
+def test_every_query_has_sql_and_is_registered():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -23,14 +27,14 @@ def test_entry_runs(spark):
 
 
 def test_queries_start_no_job(spark, sf_dir):
-    QUERIES["valid_registrations"](spark, sf_dir).count()
+    dump = fixture_dump(spark, sf_dir)
+    for table in TABLE_FILES:  # opening a table reads its footer
+        dump[table].count()
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("laziness", "building queries", False)
     try:
         for name in ("resource_history", "event_history_panel", "los_summary_all"):
-            QUERIES[name](spark, sf_dir)
-        # Opening the given tables reads their footers; nothing else may run.
-        opened = tracker.getJobIdsForGroup("laziness")
-        assert len(opened) <= 3 * 5
+            catalog.ON_DUMP[name](dump)
+        assert len(tracker.getJobIdsForGroup("laziness")) == 0
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
