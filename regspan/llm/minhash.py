@@ -1,13 +1,15 @@
 """Near-duplicates by MinHash: banding, signature check, full check, connected components.
 
 1. Every document gives the set of its shingles (64-bit hashes), HASHES universal hash minima
-   over it, band keys of ROWS minima, and a sketch of one bit per minimum.
+   over it, band keys of ROWS minima, and sketches: one bit per minimum, and the parity of the
+   shingles that fall on each of PARITIES bits.
 2. Documents with equal sets are one class; only the smallest id of a class goes on.
-3. Band keys held by one class only are dropped. In every other bucket all members are paired
-   with the smallest one (a star), those pairs checked by sketch, then on full sets.
-4. Components of the links label the classes. Buckets that still hold several labels have
-   pairs across labels checked in the same way; within a label no pair is needed, so a large
-   group of near copies never gives its square. Together this tests all that share a bucket.
+3. Band keys held by one class only are dropped. The class of a bucket that meets most others
+   is its centre. Every class is paired with the most central of its centres first; pairs are
+   checked by sketch, then on full sets. Components of the links label the classes.
+4. Pairs that share a label need no check, so a large group of near copies never gives its
+   square. What else shares a bucket is checked in the same way: members against the centre
+   where labels differ, then, with new labels, members against members where labels differ.
 5. Components of all links.
 
 A pair at the threshold misses all bands with probability (1 - s**ROWS)**BANDS, 7e-9 for
@@ -30,13 +32,13 @@ THRESHOLD = 0.85
 ROWS, BANDS = 6, 40
 HASHES = ROWS * BANDS
 _SKETCH = (HASHES + 63) // 64  # longs
-# Bits of a sketch differ with probability (1 - s) / 2. Six standard deviations above
-# the mean at the threshold are let through.
+PARITIES = 1024
 _SEED = 20240229
 _CHUNK = 1 << 20  # bytes of text worked on at once
 
 
 def _sketch_limit(threshold: float) -> int:
+    """Bits of minima that may differ: the mean at the threshold and six standard deviations."""
     p = (1 - threshold) / 2
     return int(HASHES * p + 6 * (HASHES * p * (1 - p)) ** 0.5)
 
@@ -122,8 +124,24 @@ def _signatures(keys, begin, n: int):
     return bands.T.view(np.int64), sketch
 
 
+def _parities(keys, begin, n: int):
+    """Of each set, for every bit whether an odd number of its shingles falls on it (n x longs).
+
+    A shingle that only one of two sets holds changes one bit, so two sets differ in as many
+    shingles as bits at least.
+    """
+    import numpy as np
+
+    bit = (_mix(keys ^ np.uint64(0x3333333333333333)) >> np.uint64(32)) % np.uint64(PARITIES)
+    owner = np.repeat(np.arange(n), np.diff(begin, append=len(keys)))
+    counts = np.bincount(owner * PARITIES + bit.astype(np.int64), minlength=n * PARITIES)
+    odd = (counts & 1).astype(np.uint8).reshape(n, PARITIES)
+    return np.packbits(odd, axis=1, bitorder="little").view("<i8")
+
+
 _SIGNED = (
-    "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
+    "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>, "
+    "odd array<long>"
 )
 
 
@@ -149,11 +167,13 @@ def signed(docs: DataFrame) -> DataFrame:
                 sums = np.zeros((2, len(ids)), np.uint64)
                 bands = np.zeros((len(ids), BANDS), np.int64)
                 sketch = np.zeros((len(ids), _SKETCH), np.int64)
+                odd = np.zeros((len(ids), PARITIES // 64), np.int64)
                 if len(some):
                     at = begin[:-1][some]
                     sums[0, some] = np.add.reduceat(_mix(keys + np.uint64(11)), at)
                     sums[1, some] = np.add.reduceat(_mix(keys ^ np.uint64(0x5555555555555555)), at)
                     bands[some], sketch[some] = _signatures(keys, at, len(some))
+                    odd[some] = _parities(keys, at, len(some))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids, pa.int64()),
@@ -162,8 +182,9 @@ def signed(docs: DataFrame) -> DataFrame:
                         pa.array(sums[1].view(np.int64)),
                         lists(bands),
                         lists(sketch),
+                        lists(odd),
                     ],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"],
+                    ["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch", "odd"],
                 )
 
     return docs.select("doc_id", "text").mapInArrow(sign, _SIGNED)
@@ -188,18 +209,23 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(collect, "doc_id long, shingles binary")
 
 
-def _differing(a: Column, b: Column) -> Column:
-    return sum(
-        (F.bit_count(F.element_at(a, i + 1).bitwiseXOR(F.element_at(b, i + 1))) for i in range(_SKETCH)),
-        F.lit(0),
-    )
+def _differing(a: Column, b: Column, longs: int) -> Column:
+    pairs = ((F.element_at(a, i + 1), F.element_at(b, i + 1)) for i in range(longs))
+    return sum((F.bit_count(x.bitwiseXOR(y)) for x, y in pairs), F.lit(0))
 
 
 def _similar(a: Column, b: Column, threshold: float) -> Column:
-    """Whether sizes and sketches leave a link possible; a, b: structs of n_shingles, sketch."""
+    """Whether sizes and sketches leave a link possible; a, b: structs n_shingles, sketch, odd.
+
+    Sets of n and m shingles that are similar enough differ in (1 - t) / (1 + t) of n + m
+    shingles at most. That and the sizes exclude no link; the minima may, with probability 1e-9.
+    """
     n, m = a["n_shingles"], b["n_shingles"]
-    return (F.least(n, m) >= threshold * F.greatest(n, m) - 1e-9) & (
-        _differing(a["sketch"], b["sketch"]) <= _sketch_limit(threshold)
+    apart = (1 - threshold) / (1 + threshold) * (n + m) + 1e-6
+    return (
+        (F.least(n, m) >= threshold * F.greatest(n, m) - 1e-9)
+        & (_differing(a["odd"], b["odd"], PARITIES // 64) <= apart)
+        & (_differing(a["sketch"], b["sketch"], _SKETCH) <= _sketch_limit(threshold))
     )
 
 
@@ -225,6 +251,24 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "u").join(right, "v").where(enough("a", "b")).select("u", "v")
 
 
+def _members(reps: DataFrame) -> DataFrame:
+    """Stored (key, doc_id, center, center_weight) of the buckets with two members or more.
+
+    The centre is the member that meets most others in all its buckets: the text of which
+    the others are copies, whatever its id.
+    """
+    keyed = reps.select(F.explode("bands").alias("key"), "doc_id")
+    buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Merged, as the keyed rows are many whatever the size of the other side.
+    members = stored(keyed.join(buckets.hint("merge"), "key"), "near-members")
+    weights = members.groupBy("doc_id").agg(F.sum("n").alias("weight"))
+    most = F.max(F.struct("weight", (-F.col("doc_id")).alias("c"))).alias("m")
+    centers = members.join(weights, "doc_id").groupBy("key").agg(most).select(
+        "key", (-F.col("m.c")).alias("center"), F.col("m.weight").alias("center_weight")
+    )
+    return stored(members.select("key", "doc_id").join(centers, "key"), "near-centres")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs (doc_id, text).
 
@@ -242,59 +286,67 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         classes.select("set_a", "set_b", F.col("rep").alias("doc_id")), ["set_a", "set_b", "doc_id"]
     ).dropDuplicates(["doc_id", "set_a", "set_b"])
     reps = stored(
-        reps.select("doc_id", "bands", F.struct("n_shingles", "sketch").alias("about")), "near-reps"
+        reps.select("doc_id", "bands", F.struct("n_shingles", "sketch", "odd").alias("about")), "near-reps"
     )
-    keyed = reps.select(F.explode("bands").alias("key"), "doc_id")
-    buckets = keyed.groupBy("key").agg(
-        F.min("doc_id").alias("center"), F.max("doc_id").alias("last")
-    ).where("center < last").select("key", "center")
-    members = stored(keyed.join(buckets, "key"), "near-members")
     about = reps.select("doc_id", "about")
+    members = _members(reps)
     texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
+    no_roots = docs.sparkSession.createDataFrame([], "node long, root long")
+
+    def joined(roots: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Roots after the links among pairs (u, v) are added: checked on full sets."""
+        pairs = stored(pairs.distinct(), "near-pairs")
+        if pairs.isEmpty():
+            return roots
+        links = stored(_verified(pairs, texts, percent), "near-links")
+        old = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
+        return components(old.union(links))
+
+    def likely(pairs: DataFrame) -> DataFrame:
+        left = about.select(F.col("doc_id").alias("u"), F.col("about").alias("x"))
+        right = about.select(F.col("doc_id").alias("v"), F.col("about").alias("y"))
+        both = pairs.distinct().join(left, "u").join(right, "v")
+        return both.where(_similar(F.col("x"), F.col("y"), threshold)).select("u", "v")
+
+    def with_labels(roots: DataFrame) -> DataFrame:
+        """Members other than centres, with their label and that of the centre."""
+        of_center = roots.select(F.col("node").alias("center"), F.col("root").alias("center_root"))
+        return (
+            members.where("doc_id <> center")
+            .join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+            .join(of_center, "center", "left")
+            .select(
+                "key", "doc_id", "center",
+                F.coalesce("root", "doc_id").alias("label"),
+                F.coalesce("center_root", "center").alias("center_label"),
+            )
+        )
 
-    star = members.where("doc_id > center").select(F.col("center").alias("u"), F.col("doc_id").alias("v"))
-    star = (
-        star.distinct()
-        .join(about.select(F.col("doc_id").alias("u"), F.col("about").alias("x")), "u")
-        .join(about.select(F.col("doc_id").alias("v"), F.col("about").alias("y")), "v")
-        .where(_similar(F.col("x"), F.col("y"), threshold))
-        .select("u", "v")
-    )
-    star = stored(star.distinct(), "near-pairs")
-    links = stored(_verified(star, texts, percent), "near-links")
-    roots = components(links)
-
-    labelled = members.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "key", "doc_id", "center", F.coalesce("root", "doc_id").alias("label")
-    )
-    labelled = stored(labelled, "near-labelled")
-    # Beside the centre's own label there must be another one that is not the centre's pair.
+    # One centre a document, the most central it meets: this links nearly all of a large group.
+    best = F.max(F.struct("center_weight", (-F.col("center")).alias("c")))
+    first = members.where("doc_id <> center").groupBy(F.col("doc_id").alias("v")).agg(best.alias("b"))
+    roots = joined(no_roots, likely(first.select((-F.col("b.c")).alias("u"), "v")))
+    # The centres of all its buckets, where the label is another.
+    star = with_labels(roots).where("label <> center_label")
+    roots = joined(roots, likely(star.select(F.col("center").alias("u"), F.col("doc_id").alias("v"))))
+    # Every pair of a bucket with its centre is tested by now. What is left are pairs of other
+    # members, where they have several labels.
+    labelled = stored(with_labels(roots), "near-labelled")
     open_keys = (
-        labelled.where("doc_id <> center")
-        .groupBy("key")
+        labelled.groupBy("key")
         .agg(F.min("label").alias("least"), F.max("label").alias("most"))
         .where("least <> most")
         .select("key")
     )
-    rest = stored(
-        labelled.where("doc_id <> center").join(open_keys, "key").join(about, "doc_id"), "near-open"
-    )
+    rest = stored(labelled.join(open_keys, "key").join(about, "doc_id"), "near-open")
     x, y = rest.alias("x"), rest.alias("y")
-    across = (
-        x.join(
-            y,
-            (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.label") < F.col("y.label"))
-            & _similar(F.col("x.about"), F.col("y.about"), threshold),
-        )
-        .select(F.col("x.doc_id").alias("u"), F.col("y.doc_id").alias("v"))
-        .distinct()
+    across = x.join(
+        y,
+        (F.col("x.key") == F.col("y.key"))
+        & (F.col("x.label") < F.col("y.label"))
+        & _similar(F.col("x.about"), F.col("y.about"), threshold),
     )
-    across = stored(across, "near-pairs")
-    more = stored(_verified(across, texts, percent), "near-links")
-    # Links of the first round are stars to their roots by now.
-    linked = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
-    roots = components(linked.union(more))
+    roots = joined(roots, across.select(F.col("x.doc_id").alias("u"), F.col("y.doc_id").alias("v")))
 
     by_class = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_a", "set_b", "n_shingles", F.coalesce("root", "rep").alias("component_id")
@@ -315,8 +367,8 @@ def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     Of rows with equal doc_id, all stay or go.
     """
-    kept = near_duplicates(docs, threshold).where("kept").select(F.col("doc_id").alias("_keep"))
-    return docs.join(kept.distinct(), docs["doc_id"].eqNullSafe(F.col("_keep")), "left_semi")
+    kept = near_duplicates(docs, threshold).where("kept").select("doc_id").distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
