@@ -12,8 +12,8 @@
    where labels differ, then, with new labels, members against members where labels differ.
 5. Components of all links.
 
-A pair at the threshold misses all bands with probability (1 - s**ROWS)**BANDS, 7e-9 for
-0.85. The check on full sets makes what is found exact.
+A pair at the threshold misses all bands with probability (1 - s**ROWS)**BANDS, 6e-9 for
+0.85 and 5e-6 for 0.8 (the pipeline). The check on full sets makes what is found exact.
 """
 
 from __future__ import annotations
@@ -218,7 +218,7 @@ def _similar(a: Column, b: Column, threshold: float) -> Column:
     """Whether sizes and sketches leave a link possible; a, b: structs n_shingles, sketch, odd.
 
     Sets of n and m shingles that are similar enough differ in (1 - t) / (1 + t) of n + m
-    shingles at most. That and the sizes exclude no link; the minima may, with probability 1e-9.
+    shingles at most. That and the sizes exclude no link; the minima may, with probability 1e-7.
     """
     n, m = a["n_shingles"], b["n_shingles"]
     apart = (1 - threshold) / (1 + threshold) * (n + m) + 1e-6

@@ -7,8 +7,8 @@ import pytest
 
 import corpus_pipeline
 from checks.compare import differences, duckdb_on
-from regspan.llm import catalog, oracles
-from tests.llm.test_minhash import brute
+from regspan.llm import catalog, minhash, oracles
+from tests.llm.test_minhash import brute, words
 from tests.llm.test_mixing import size, targets
 from tests.llm.test_packing import expected_pieces
 from tests.llm.test_rules import counts
@@ -61,6 +61,21 @@ def test_near_dedup(results):
     assert bag(after) == Counter(tuple(r) for r in rows if r.doc_id in kept)
 
 
+def test_near_dedup_links_from_80_percent(spark, docs_of, results, sf_dir):
+    before, after = results["near_dedup"]
+    rows = before.collect()
+    kept = {i for i, (_, _, k) in brute([(r.doc_id, r.text) for r in rows], percent=80).items() if k}
+    assert bag(after) == Counter(tuple(r) for r in rows if r.doc_id in kept)
+    # 204 shingles: 7 words apart from each other change 35, so 169 of 239 are common; 4 change 20,
+    # 184 of 224 (82 %).
+    text, texts = words(208, 1), []
+    for changed in (0, 4, 7):
+        texts.append([f"new{changed}" if i % 20 == 10 and i < 20 * changed else w for i, w in enumerate(text)])
+    docs = docs_of([" ".join(t) for t in texts])
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, sf_dir).collect()} == {0, 2}
+    assert {r.doc_id for r in minhash.deduplicated(docs).collect()} == {0, 1, 2}
+
+
 def masked(text):
     out, at = "", 0
     for start, _, end in expected_spans(text):
