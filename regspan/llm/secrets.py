@@ -1,9 +1,10 @@
 """Secret scans (DataFrame functions only): fixed patterns, and entropy of candidate strings.
 
-A candidate is a long run of key characters with letters and digits. Over a window sliding
+A candidate is a long run of key characters with letters and digits, outside what the fixed
+patterns match. Over a window sliding
 along it the Shannon entropy of its characters is kept by incremental counts: each step takes
 one character out and puts one in. Windows of random hex or base64 text reach entropies that
-words never do. Known harmless shapes are suppressed by an allow list.
+words seldom do; which ones depends on the size of their alphabet. Known harmless shapes are suppressed by an allow list.
 """
 
 from __future__ import annotations
@@ -34,8 +35,18 @@ HEX = "[0-9a-f]{24,}"
 CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
 
 WINDOW = 20
-# Bits a character: least entropy of a window to report, by character class of the candidate.
-HEX_BITS, KEY_BITS = 3.0, 3.9
+# Bits a character: least entropy of a window to report, by alphabet. Of random keys of 20
+# characters with a letter and a digit 1 % at most stay below the limit of their alphabet, of
+# longer ones fewer. KEY_BITS is for pieces with marks that are not of all three kinds (A-Z, a-z, 0-9).
+HEX_BITS, BASE32_BITS, ONE_CASE_BITS, MIXED_BITS, BASE64_BITS, KEY_BITS = 2.9, 3.3, 3.4, 3.64, 3.64, 3.9
+ALPHABETS = (
+    ("^[0-9A-Fa-f]+$", HEX_BITS),
+    ("^([A-Z2-7]+|[a-z2-7]+)$", BASE32_BITS),
+    ("^([A-Z0-9]+|[a-z0-9]+)$", ONE_CASE_BITS),
+    ("^[A-Za-z0-9]+$", MIXED_BITS),
+    ("^(?=.*[A-Z])(?=.*[a-z])(?=.*[0-9])", BASE64_BITS),
+)
+RUN = "[A-Za-z0-9]{20,}"
 # Shapes that are not secrets: unique ids with dashes, alphabets, placeholders, dates in names.
 ALLOWED = (
     "^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$"
@@ -117,26 +128,60 @@ def _entropy(candidate: Column) -> Column:
 
 
 def _random(span: Column) -> Column:
-    """Whether a candidate is random enough and of no allowed shape."""
+    """Whether a candidate, or a run of letters and digits in it, is random enough for its alphabet.
+
+    Candidates of an allowed shape are not.
+    """
     match = span["match"]
-    least = F.when(match.rlike("^[0-9A-Fa-f]+$"), HEX_BITS).otherwise(KEY_BITS)
-    shape = match.rlike("[0-9]") & match.rlike("[A-Za-z]") & ~match.rlike(ALLOWED)
-    return F.when(shape, _entropy(match) >= least).otherwise(F.lit(False))
+
+    def random(piece: Column) -> Column:
+        least = F.lit(KEY_BITS)
+        for pattern, bits in reversed(ALPHABETS):
+            least = F.when(piece.rlike(pattern), bits).otherwise(least)
+        shape = piece.rlike("[0-9]") & piece.rlike("[A-Za-z]")
+        return F.when(shape, _entropy(piece) >= least).otherwise(F.lit(False))
+
+    runs = F.regexp_extract_all(match, F.lit(RUN), F.lit(0))
+    pieces = F.array_distinct(F.concat(F.array(match), runs))
+    return F.when(match.rlike(ALLOWED), F.lit(False)).otherwise(F.exists(pieces, random))
+
+
+def _once(value: Column, use) -> Column:
+    """use(value), with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with blanks for the characters of sorted spans."""
+
+    def step(state: Column, s: Column) -> Column:
+        piece = F.substring(text, state["at"] + 1, s["start"] - state["at"])
+        blanks = F.repeat(F.lit(" "), s["end"] - F.greatest(state["at"], s["start"]))
+        return F.struct(
+            F.greatest(state["at"], s["end"]).alias("at"),
+            F.concat(state["out"], piece, blanks).alias("out"),
+        )
+
+    return F.aggregate(
+        spans,
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        step,
+        lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))),
+    )
 
 
 def scan(text: Column) -> Column:
     """array<struct<start, kind, end>> of all secrets of a text, by start, then kind.
 
     kind is the place in KINDS. NULL gives an empty array. Base kinds as in the contract:
-    leftmost matches that do not overlap within a kind, failing ones dropped after matching. An
-    entropy span is added where no base span touches the candidate.
+    leftmost matches that do not overlap within a kind, failing ones dropped after matching.
+    Entropy spans are looked for in what base spans leave of the text.
     """
     text = F.coalesce(text, F.lit(""))
     assign = F.filter(
         _spans(text, ASSIGN, "assign"),
         lambda s: F.length(F.regexp_extract(s["match"], ASSIGN, 2)) >= ASSIGN_VALUE,
     )
-    base = F.concat(assign, _spans(text, ACCESS, "access"), _spans(text, HEX, "hex"))
 
     def narrow(spans: Column) -> Column:
         return F.transform(
@@ -146,12 +191,15 @@ def scan(text: Column) -> Column:
             ),
         )
 
-    more = F.filter(
-        _spans(text, CANDIDATE, "entropy"),
-        lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        & _random(s),
-    )
-    return F.array_sort(F.concat(narrow(base), narrow(more)))
+    def with_entropy(base: Column) -> Column:
+        more = _once(
+            F.when(F.size(base) > 0, _blanked(text, base)).otherwise(text),
+            lambda left: narrow(F.filter(_spans(left, CANDIDATE, "entropy"), _random)),
+        )
+        return F.array_sort(F.concat(base, more))
+
+    base = F.concat(assign, _spans(text, ACCESS, "access"), _spans(text, HEX, "hex"))
+    return _once(F.array_sort(narrow(base)), with_entropy)
 
 
 def secrets(docs: DataFrame) -> DataFrame:
