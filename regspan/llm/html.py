@@ -51,6 +51,9 @@ _SMOOTH = 0.1
 _UNKNOWN = 0.1  # a word of which nothing is known is rather main text
 _OUTSIDE = 0.25  # a word outside main text weighs so much less
 _MANY_LINKS = 0.5
+_SETTLED = 1.0  # score of the elements around, from which links do not count against a block
+_LISTS = (frozenset(["ul"]), frozenset(["ol"]))
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class Block(NamedTuple):
@@ -173,19 +176,29 @@ def learn(pages: tuple[str, ...] = PAGES) -> Weights:
 def word_score(block: Block, weights: Weights) -> float:
     """Score of a word: what is known of the block itself and of the elements around it.
 
-    From the innermost outwards elements are added up to the first that is decisive.
+    From the innermost outwards elements are added up to the first that is decisive. Many links,
+    and lists without a name, count only where the other elements around, headings aside, do not
+    settle it as main text.
     """
     known = weights.features
 
     def of(features: frozenset[str]) -> float:
         return max(-_BOUND, min(_BOUND, sum(known.get(f, 0.0) for f in features)))
 
-    score = _UNKNOWN + of(block.own)
-    for features in reversed(block.around):
-        around = of(features)
-        score += around
-        if abs(around) >= _DECISIVE:
-            break
+    def around(elements) -> float:
+        total = 0.0
+        for features in elements:
+            score = of(features)
+            total += score
+            if abs(score) >= _DECISIVE:
+                break
+        return total
+
+    own, elements = block.own, block.around[::-1]
+    others = [f for f in elements if f not in _LISTS]
+    if around(f for f in others if not f & _HEADINGS) >= _SETTLED:
+        own, elements = own - {"links", "li"}, others
+    score = _UNKNOWN + of(own) + around(elements)
     if "hidden" in block.own.union(*block.around):
         score = -_BOUND
     score = max(-_BOUND, min(_BOUND, score))

@@ -17,6 +17,22 @@ CASES = {
     "a < b and <unknown>c</unknown> > d": "a < b and c > d",
 }
 
+_P = "This is a paragraph of the main text with words enough. " * 3
+_T = " ".join(_P.split())
+
+# Links in main text, and beside it.
+LINKED = {
+    f"<nav><a href=x>Home</a></nav><article><h1><a href=t>The Title</a></h1><p>{_P}</p></article>": f"The Title\n{_T}",
+    f"<main><article><h2><a href=t>The Title</a></h2><p>{_P}</p></article></main>": f"The Title\n{_T}",
+    f"<article><p>{_P}</p><p><a href=x>all of it is a link</a></p><p>{_P}</p></article>": f"{_T}\nall of it is a link\n{_T}",
+    f"<article><p>{_P}</p><h2>References</h2><ul><li><a href=1>First ref</a><li><a href=2>Second ref</a></ul></article><footer>f</footer>": f"{_T}\nReferences\nFirst ref\nSecond ref",
+    f"<div class=content><h1><a href=t>The Title</a></h1><p>{_P}</p><ol><li><a href=1>First ref</a></ol><p>{_P}</p></div>": f"The Title\n{_T}\nFirst ref\n{_T}",
+    f"<article><p>{_P}</p><ul><li>No link</li></ul><p>{_P}</p></article>": f"{_T}\nNo link\n{_T}",
+    f"<article><p>{_P}</p><nav><ul><li><a href=1>nav</a></li></ul></nav><div class=related><a href=x>rel</a></div><p>{_P}</p></article>": f"{_T}\n{_T}",
+    f"<header><h1><a href=/>Site</a></h1></header><article><p>{_P}</p></article>": _T,
+    f"<article><p>{_P}</p><section class=comments><article><p><a href=x>a user</a></p></article></section></article>": _T,
+}
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title></head><body>
 <div class="site-header"><h1>My Site</h1></div><div class="nav-menu"><a href=x>Home</a> <a href=y>About</a></div>
 <div class="cookie-notice">We use cookies to make it better for you all the time and so on</div>
@@ -31,6 +47,11 @@ def test_cases(page, text):
     assert html.main_text(page, W) == text
 
 
+@pytest.mark.parametrize("page, text", LINKED.items())
+def test_links_in_main_text(page, text):
+    assert html.main_text(page, W) == text
+
+
 def test_divisions_with_classes():
     expected = "Headline here\nFirst para & more boldtext.\nOne\nTwo\nSecond para next."
     assert html.main_text(PAGE, W) == expected
