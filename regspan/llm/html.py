@@ -23,7 +23,13 @@ from regspan.llm.common import row_and, table
 from regspan.llm.labelled_pages import PAGES
 
 # Elements of HTML by how they are read.
-RAW = "script style noscript template iframe object svg math title textarea select canvas"
+RAW = "script style iframe title textarea"  # text up to the end tag, or else of the page
+# Containers of what a reader does not see as text, where they are closed within their element.
+SKIPPED = frozenset("noscript template object svg select canvas annotation annotation-xml".split())
+# A start tag of these ends svg.
+_BREAKOUT = frozenset(
+    "blockquote body center dd div dl dt h1 h2 h3 h4 h5 h6 head hr li menu ol p pre table ul".split()
+)
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu "
@@ -36,12 +42,13 @@ _INLINE_KEPT = frozenset(["button", "label", "option"])
 
 _RAW = "|".join(RAW.split())
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({_RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([A-Za-z][A-Za-z0-9:-]*+)([^>]*+)(?:>|\Z)|([^<]++|<)",
     re.S | re.I,
 )
+_CLOSED_START = re.compile(r"<[A-Za-z]+(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>")
 _ATTRIBUTE = re.compile(r"([A-Za-z_:-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -83,6 +90,51 @@ def _features(name: str, attributes: str) -> tuple[frozenset[str], str]:
     return frozenset(found), label
 
 
+def _seen(html: str) -> list[re.Match]:
+    """Tokens of a page outside SKIPPED elements.
+
+    One that is not closed before its element ends, or that closes itself (svg), is a tag only.
+    """
+    tokens: list[re.Match] = []
+    open_: list[tuple[str, int]] = []
+    count: Counter = Counter()
+    spans: list[tuple[int, int]] = []
+    pos = 0
+    while match := _TOKEN.match(html, pos):
+        pos = match.end()
+        if match[1] and count["svg"] and (start := _CLOSED_START.match(html, match.start())):
+            pos = start.end()  # <title/> and the like, which only svg has
+            continue
+        i = len(tokens)
+        tokens.append(match)
+        name = (match[3] or match[6] or "").lower()
+        if not name:
+            continue
+        if match[2] or match[5]:
+            if count[name] and name not in _LOOSE:
+                while True:
+                    top, at = open_.pop()
+                    count[top] -= 1
+                    if top == name:
+                        break
+                if name in SKIPPED:
+                    spans.append((at, i))
+            continue
+        while name in _BREAKOUT and open_ and open_[-1][0] == "svg":
+            open_.pop()
+            count["svg"] -= 1
+        closed = name == "svg" and (match[4] or match[7] or "").endswith("/")
+        if (name in SKIPPED or name in BLOCKS and name not in _LOOSE and name not in _VOID) and not closed:
+            open_.append((name, i))
+            count[name] += 1
+    out, at = [], 0
+    for first, last in sorted(spans):
+        if first >= at:
+            out += tokens[at:first]
+        at = max(at, last + 1)
+    return out + tokens[at:]
+
+
 def blocks(html: str) -> Iterator[Block]:
     """The blocks of a page with words, in order."""
     open_: list[tuple[str, frozenset[str], str]] = []
@@ -108,7 +160,7 @@ def blocks(html: str) -> Iterator[Block]:
         linked = 0
         return block
 
-    for match in _TOKEN.finditer(html):
+    for match in _seen(html):
         text = match[8]
         if text is not None:
             pieces.append(text)

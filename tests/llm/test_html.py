@@ -33,6 +33,21 @@ LINKED = {
     f"<article><p>{_P}</p><section class=comments><article><p><a href=x>a user</a></p></article></section></article>": _T,
 }
 
+# Elements without text for the reader: closed, closing themselves, left open, and names like theirs.
+SKIPPED = {
+    "<article><p>a one <svg class='i'/> b two</p><p>c</p></article>": "a one b two\nc",
+    "<article><p>a <svg><text>no</text></svg> b</p><svg><g><p>c</svg></article>": "a b\nc",
+    "<article><p>a <svg><title/><style a='>'/><path/></svg> b</p><p>c</p></article>": "a b\nc",
+    "<article><p>a</p><object data=x><p>b</p></article><footer>f</footer>": "a\nb",
+    "<article><p>a</p><object><div>no</div></object><canvas>no</canvas><p>b</p></article>": "a\nb",
+    "<article><p>a</p><canvas><p>b</p></article>": "a\nb",
+    "<article><template-card><p>a b</p></template-card><select-box>z</select-box></article>": "a b\nz",
+    "<article><p>a</p><template><div><template>no</template>no</div></template><p>b</p></article>": "a\nb",
+    "<article><p>let <math><mi>x</mi><annotation>no</annotation></math> be</p><math/><p>b</p></article>": "let x be\nb",
+    "<article><p>a</p><noscript><p>no</p></noscript><select><option>no</select><p>b</p></article>": "a\nb",
+    "<article><p>a</p><script>no</script >b<style>no": "a\nb",
+}
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title></head><body>
 <div class="site-header"><h1>My Site</h1></div><div class="nav-menu"><a href=x>Home</a> <a href=y>About</a></div>
 <div class="cookie-notice">We use cookies to make it better for you all the time and so on</div>
@@ -52,6 +67,11 @@ def test_links_in_main_text(page, text):
     assert html.main_text(page, W) == text
 
 
+@pytest.mark.parametrize("page, text", SKIPPED.items())
+def test_elements_without_text(page, text):
+    assert html.main_text(page, W) == text
+
+
 def test_divisions_with_classes():
     expected = "Headline here\nFirst para & more boldtext.\nOne\nTwo\nSecond para next."
     assert html.main_text(PAGE, W) == expected
