@@ -54,13 +54,6 @@ def test_quality_rules(results):
     )
 
 
-def test_near_dedup(results):
-    before, after = results["near_dedup"]
-    rows = before.collect()
-    kept = {i for i, (_, _, k) in brute([(r.doc_id, r.text) for r in rows]).items() if k}
-    assert bag(after) == Counter(tuple(r) for r in rows if r.doc_id in kept)
-
-
 def test_near_dedup_links_from_80_percent(spark, docs_of, results, sf_dir):
     before, after = results["near_dedup"]
     rows = before.collect()
