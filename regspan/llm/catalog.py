@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from regspan.llm import (
-    ann, html, minhash, mixing, oracles, packing, quality, rules, secrets, suffixes, tokenstore,
+    ann, html, lexsearch, minhash, mixing, oracles, packing, quality, rules, secrets, suffixes,
+    tokenstore,
 )
 
 
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": mixing.query,
         "op9_packing": packing.query,
         "op10_html": html.query,
+        "op11_lexsearch": lexsearch.query,
         "pipeline": corpus_pipeline.run,
     }
 

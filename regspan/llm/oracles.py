@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from regspan.llm import ann, minhash, mixing, rules, secrets, suffixes
+from regspan.llm import ann, lexsearch, minhash, mixing, rules, secrets, suffixes
 
 _WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -209,6 +209,33 @@ SELECT doc_id, size, source_size, target, CAST(size * (whole + CASE
 FROM places LEFT JOIN edges ON places.source IS NOT DISTINCT FROM edges.source"""
 
 
+def _terms(column: str) -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return (f"regexp_extract_all(translate(coalesce({column}, ''), '{upper}', '{upper.lower()}'), "
+            f"{_quoted(lexsearch.TERM)})")
+
+
+def _lexsearch(top: int = lexsearch.TOP) -> str:
+    """Every document scored for every item by the contract's integer formula."""
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rk, doc_id, {_terms('text')} AS t FROM documents),
+st AS (SELECT count(*) FILTER (WHERE len(t) > 0) AS big_n, sum(len(t)) AS big_l FROM d),
+tf AS (SELECT rk, doc_id, n, term, count(*) AS tf
+       FROM (SELECT rk, doc_id, CAST(len(t) AS BIGINT) AS n, unnest(t) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (SELECT DISTINCT item_id, unnest({_terms('text')}) AS term FROM benchmark),
+w AS (SELECT item_id, term,
+        CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM q JOIN df USING (term), st),
+sc AS (SELECT item_id, rk, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * big_n) // big_l)))) AS score
+       FROM w JOIN tf USING (term), st GROUP BY item_id, rk, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+      FROM sc WHERE score > 0)
+WHERE rank <= {top}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_suffixes": _suffixes(),
@@ -217,4 +244,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_neighbours": _neighbours(),
         "op6_rules": _rules(),
         "op8_mixing": _mixing(),
+        "op11_lexsearch": _lexsearch(),
     }
