@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from regspan.llm import (
-    ann, html, lexsearch, minhash, mixing, oracles, packing, quality, rules, secrets, suffixes,
+    ann, divergence, html, lexsearch, minhash, mixing, oracles, packing, quality, rules, secrets, suffixes,
     tokenstore,
 )
 
@@ -26,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_packing": packing.query,
         "op10_html": html.query,
         "op11_lexsearch": lexsearch.query,
+        "op12_divergence": divergence.query,
         "pipeline": corpus_pipeline.run,
     }
 

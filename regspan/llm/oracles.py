@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from regspan.llm import ann, lexsearch, minhash, mixing, rules, secrets, suffixes
+from regspan.llm import ann, divergence, lexsearch, minhash, mixing, rules, secrets, suffixes
 
 _WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -236,6 +236,44 @@ FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 WHERE rank <= {top}"""
 
 
+def _divergence() -> str:
+    """Every group dense over its language's kept terms; pairs by a join on the term."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    t = (f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), "
+         f"{_quoted(divergence.TERM)})")
+    scale = divergence.SCALE
+    return f"""
+WITH r AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, {t} AS t FROM documents),
+g AS (SELECT DISTINCT lang, source FROM r),
+held AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(t)) AS term FROM r)
+         GROUP BY lang, term HAVING count(*) >= {divergence.MIN_DOCS}),
+v AS (SELECT lang, count(*) AS v FROM held GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS cnt
+      FROM (SELECT lang, source, unnest(t) AS term FROM r) JOIN held USING (lang, term) GROUP BY ALL),
+gs AS (SELECT g.lang, g.source, coalesce(v.v, 0) + coalesce(s.n, 0) AS total
+       FROM g LEFT JOIN v USING (lang) LEFT JOIN (SELECT lang, source, sum(cnt) AS n FROM c GROUP BY ALL) s
+       USING (lang, source)),
+pp AS (SELECT gs.lang, gs.source, h.term,
+         1 + (CAST(coalesce(c.cnt, 0) + 1 AS HUGEINT) * {scale}) // gs.total AS p
+       FROM gs JOIN held h USING (lang) LEFT JOIN c USING (lang, source, term)),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+         FROM pp a JOIN pp b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+          FROM gs a JOIN gs b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+lc AS (SELECT lang, term, sum(cnt) AS cnt FROM c GROUP BY ALL),
+lt AS (SELECT lang, v.v + (SELECT sum(cnt) FROM c WHERE c.lang = v.lang) AS total FROM v),
+tp AS (SELECT c.lang, c.source, c.term AS item,
+         1 + (CAST(c.cnt + 1 AS HUGEINT) * {scale}) // gs.total AS p,
+         1 + (CAST(lc.cnt + 1 AS HUGEINT) * {scale}) // lt.total AS q
+       FROM c JOIN gs USING (lang, source) JOIN lc USING (lang, term) JOIN lt USING (lang)),
+terms AS (SELECT lang, source, 'term' AS part, item, ((p - q) * (p - q)) // q AS value FROM tp WHERE p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+           FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_suffixes": _suffixes(),
@@ -245,4 +283,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_rules": _rules(),
         "op8_mixing": _mixing(),
         "op11_lexsearch": _lexsearch(),
+        "op12_divergence": _divergence(),
     }
