@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from regspan.llm import (
     ann, divergence, html, lexsearch, minhash, mixing, oracles, packing, quality, rules, secrets, suffixes,
-    tokenstore,
+    tiers, tokenstore,
 )
 
 
@@ -27,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_html": html.query,
         "op11_lexsearch": lexsearch.query,
         "op12_divergence": divergence.query,
+        "op13_tiers": tiers.query,
         "pipeline": corpus_pipeline.run,
     }
 
