@@ -171,6 +171,9 @@ ON_DUMP |= {
     "resource_counts_at_date_mid": lambda dump: history.resource_counts_at_date(dump, MID_CUTOFF),
     "los_leaderboard_mid": lambda dump: leaderboard(dump, MID_CUTOFF),
     "event_history_panel_mid": lambda dump: history.event_history_panel(dump, MID_CUTOFFS),
+    "event_history_measures_mid": lambda dump: history.event_history_panel(
+        dump, MID_CUTOFFS, measures=_measures(), status=_two_kinds_and_a_live_output
+    ),
     "history_of_few_registrations": lambda dump: history.event_history_panel(
         dump, MID_CUTOFFS, [*VALID_REGISTRATION, F.col("id").isin(660, 717)], small_sample=True
     ),
@@ -186,6 +189,24 @@ ON_DUMP |= {
 }
 
 
+def _measures() -> list:
+    """Measures of links that may end: live outputs, kinds, first and latest visible."""
+    from regspan.operators.measures import Measure
+    from regspan.schemas import OUTPUT_TYPES
+
+    live_output = F.col("artifact_type").isin(*OUTPUT_TYPES) & F.col("artifact_deleted").isNull()
+    return [
+        Measure("live_outputs", "count", where=live_output),
+        Measure("types", "distinct", "artifact_type"),
+        Measure("first_visible", "min", "artifact_created"),
+        Measure("latest_visible", "max", "artifact_created"),
+    ]
+
+
+def _two_kinds_and_a_live_output(m: dict) -> F.Column:
+    return (m["live_outputs"] > 0) & (m["types"] > 1)
+
+
 def _on_tables(query: Callable[[Dump], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: query(fixture_dump(spark, sf_dir))
 

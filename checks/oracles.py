@@ -331,6 +331,16 @@ _MID = {
     "resource_counts_at_date_mid": "SELECT * FROM counts",
     "los_leaderboard_mid": _FINAL["los_leaderboard"],
     "event_history_panel_mid": "SELECT * FROM panel",
+    "event_history_measures_mid": f"""
+SELECT *, CASE WHEN is_los = 1 AND (los_lag IS NULL OR los_lag = 0) THEN 1
+               WHEN is_los = 0 AND los_lag = 1 THEN -1 ELSE 0 END AS los_change
+FROM (SELECT *, lag(is_los) OVER (PARTITION BY node_id ORDER BY date) AS los_lag
+      FROM (SELECT *, CAST(live_outputs > 0 AND types > 1 AS INTEGER) AS is_los
+            FROM (SELECT date, node_id,
+                    CAST(sum(CASE WHEN {_OUT} AND {_KEPT} THEN 1 ELSE 0 END) AS BIGINT) AS live_outputs,
+                    count(DISTINCT artifact_type) AS types,
+                    min(artifact_created) AS first_visible, max(artifact_created) AS latest_visible
+                  FROM all_history GROUP BY date, node_id)))""",
     "history_of_few_registrations": "SELECT * FROM panel WHERE node_id IN (660, 717)",
 }
 

@@ -305,13 +305,21 @@ def event_history_panel(
     null_as_zero: bool = False,
     small_sample: bool = False,
     snapshot: Callable[[Dump, date, Sample], DataFrame] | None = None,
+    measures: Sequence | None = None,
+    status: Callable[[dict[str, Column]], Column] | None = None,
 ) -> DataFrame:
     """Counts and LOS status of every registration at every cutoff it existed at.
 
-    The counts of `resource_counts_at_date` are computed for all cutoffs in one pass. Any
-    other `snapshot(dump, cutoff, sample)` that returns `node_id` and `is_los` is called per
-    cutoff and stacked.
+    The counts of `resource_counts_at_date` are computed for all cutoffs in one pass. So are
+    `measures` the caller names (`regspan.operators.measures.Measure`: sums, counts, distinct
+    counts, minima and maxima of links that may end), with is_los from `status` over them.
+    Any other `snapshot(dump, cutoff, sample)` that returns `node_id` and `is_los` is called
+    per cutoff and stacked.
     """
+    if measures is not None:
+        from regspan.operators.measures import measure_panel
+
+        return measure_panel(dump, cutoffs, measures, sample, small_sample, status)
     if snapshot is None:
         runs = status_runs(dump, cutoffs, sample, null_as_zero, small_sample)
         return panel_of_runs(runs, cutoffs)
