@@ -34,7 +34,7 @@ from regspan.llm.common import stored, table
 # Term: a run of ASCII letters and digits and any characters beyond ASCII (fixed by the contract).
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TOP = 10
-GROUP_ENTRIES = 2_000_000  # (document, term) entries of one group, about what a task holds
+GROUP_ENTRIES = 300_000  # (document, term) entries of one group: its tree stays near 100 MB
 QUERY_BLOCK = 4096  # queries that meet one group in one task
 LEAF = 32  # documents of a leaf
 MARGIN = 1e-9  # relative widening of every float bound; rounding error stays below 1e-12
@@ -83,6 +83,7 @@ class BallTree:
             rows = self.order[lo:hi]
             e, owner = self._entries(rows)
             cterms, inverse = np.unique(self._idx[e], return_inverse=True)
+            cterms = cterms.astype(np.int32)
             cvals = np.bincount(inverse, weights=self._val[e]) / len(rows)
             cnorm2 = float(cvals @ cvals)
             dots = self._dots(rows, e, owner, cterms, cvals)
@@ -167,7 +168,7 @@ def _search_group(docs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     row_of = position[np.searchsorted(keys, docs["row_key"].to_numpy())]
     sort = np.argsort(row_of, kind="stable")
     row_of = row_of[sort]
-    idx = vocab.get_indexer(docs["term"].to_numpy()[sort])
+    idx = vocab.get_indexer(docs["term"].to_numpy()[sort]).astype(np.int32)
     s = docs["s"].to_numpy(np.int64)[sort]
     indptr = np.searchsorted(row_of, np.arange(len(keys) + 1))
     doc_ids = docs["doc_key"].to_numpy()[sort][indptr[:-1]]
@@ -201,14 +202,8 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     Returns item_id, rank (from 1), doc_id, score.
     """
     spark = docs.sparkSession
-    rows = stored(
-        docs.select(
-            F.monotonically_increasing_id().alias("row_key"), "doc_id",
-            terms(F.col("text")).alias("terms"),
-        ).withColumn("n", F.size("terms").cast("long")),
-        "lex-rows",
-    )
-    totals = rows.agg(
+    # two passes over the texts rather than a stored copy of all their terms
+    totals = docs.select(F.size(terms(F.col("text"))).alias("n")).agg(
         F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.sum("n").alias("L")
     ).first()
     big_n, big_l = int(totals["N"] or 0), int(totals["L"] or 0)
@@ -225,8 +220,11 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     )
     wanted = asked.select("term").distinct()
     # occurrences of asked terms only; one document may hold a term many times
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row_key"), "doc_id", terms(F.col("text")).alias("terms")
+    )
     tf = (
-        rows.select("row_key", "doc_id", "n", F.explode("terms").alias("term"))
+        rows.select("row_key", "doc_id", F.size("terms").cast("long").alias("n"), F.explode("terms").alias("term"))
         .join(wanted, "term", "left_semi")
         .groupBy("row_key", "doc_id", "n", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
