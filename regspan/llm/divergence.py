@@ -32,6 +32,7 @@ from regspan.llm.common import stored, table
 
 # Term: a run of ASCII letters and characters beyond ASCII (fixed by the contract).
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS = 3
 TOP_TERMS = 200
 SCALE = 10**9
@@ -47,7 +48,8 @@ def terms(text) -> F.Column:
     """All terms of a text, A-Z lower-cased only; none for NULL."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     folded = F.translate(F.coalesce(text, F.lit("")), upper, upper.lower())
-    return F.regexp_extract_all(folded, F.lit(TERM), 0)
+    # the pieces between runs of other characters: the same terms, found faster
+    return F.filter(F.split(folded, SEPARATORS), lambda t: t != "")
 
 
 class Forest:
@@ -149,18 +151,32 @@ def _price_pairs(entries: pd.DataFrame, groups: pd.DataFrame, width: int) -> pd.
 def audit(docs: DataFrame) -> DataFrame:
     """Both parts for documents (text, lang, source); RESULT columns."""
     spark = docs.sparkSession
-    rows = stored(
-        docs.select(
-            F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
-            terms(F.col("text")).alias("terms"),
-        ),
-        "div-rows",
+    # one pass over the texts: every term as an occurrence and each distinct one as a document,
+    # combined on the map side per (lang, source, term) and stored
+    rows = docs.select(
+        F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
+        terms(F.col("text")).alias("terms"),
     )
-    groups = rows.select("lang", "source").distinct()
+
+    def tagged(column: F.Column, occurrence: int) -> F.Column:
+        return F.transform(column, lambda t: F.struct(
+            t.alias("term"), F.lit(occurrence).alias("occ"), F.lit(1 - occurrence).alias("doc")
+        ))
+
+    both = F.concat(tagged(F.col("terms"), 1), tagged(F.array_distinct("terms"), 0))
+    per_group = stored(
+        rows.select("lang", "source", F.explode(both).alias("e"))
+        .select("lang", "source", "e.*")
+        .groupBy("lang", "source", "term")
+        .agg(F.sum("occ").cast("long").alias("count"), F.sum("doc").cast("long").alias("docs")),
+        "div-terms",
+    )
+    groups = docs.select(
+        F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source")
+    ).distinct()
     held = (
-        rows.select("lang", F.explode(F.array_distinct("terms")).alias("term"))
-        .groupBy("lang", "term").count()
-        .where(F.col("count") >= MIN_DOCS)
+        per_group.groupBy("lang", "term").agg(F.sum("docs").alias("docs"))
+        .where(F.col("docs") >= MIN_DOCS)
         .select("lang", "term")
     )
     # dense ids within a language, numbered within (lang, salt) and moved by earlier salts
@@ -178,12 +194,7 @@ def audit(docs: DataFrame) -> DataFrame:
         .select("lang", "term", (F.col("at") - 1 + F.col("move")).alias("tid"), "v"),
         "div-kept",
     )
-    counts = stored(
-        rows.select("lang", "source", F.explode("terms").alias("term"))
-        .groupBy("lang", "source", "term").agg(F.count(F.lit(1)).alias("count"))
-        .join(kept, ["lang", "term"]),
-        "div-counts",
-    )
+    counts = stored(per_group.select("lang", "source", "term", "count").join(kept, ["lang", "term"]), "div-counts")
     langs = kept.select("lang", "v").distinct()
     sums = counts.groupBy("lang", "source").agg(F.sum("count").alias("n_sum"))
     grouped = (
@@ -202,7 +213,7 @@ def audit(docs: DataFrame) -> DataFrame:
         .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(v - 1) div width"))))
         .withColumn("block_width", F.least("width", F.col("v") - F.col("block") * F.col("width")))
     )
-    entries = counts.join(blocks.select("lang", "width"), "lang").select(
+    entries = counts.join(blocks.select("lang", "width").distinct(), "lang").select(
         "lang", (F.col("tid") / F.col("width")).cast("long").alias("block"), "source",
         (F.col("tid") % F.col("width")).alias("tid"), "count",
     )
