@@ -62,29 +62,34 @@ def annual_indicator_pivot(
         rows = rows.where(F.col("attribute") == OVERALL)
     if years is not None:
         rows = rows.where(F.col("year").isin(*years))
-    known = rows.select(
-        *keys,
-        _section().alias("section"),
-        _line().alias("line"),
-        F.month("date").alias("month"),
-        "date",
-        "value",
-    ).where(F.col("section").isNotNull() & F.col("line").isNotNull())
-    # Lines without values still appear: one empty entry per table and line.
-    empty = rows.select(*keys).distinct().select(*keys, F.inline(_skeleton()))
-    lines = known.unionByName(empty, allowMissingColumns=True)
-    table = (
-        lines.groupBy(*keys, "section", "line")
-        .pivot("month", list(range(1, 13)))
-        .agg(F.max_by("value", "date"))
+    known = (F.col("section").isNotNull() & F.col("line").isNotNull()).alias("known")
+    cell = F.struct("section", "line", "month", "date", "value")
+    # One group per table holds its cells (a table has at most a few lines a day of a year), so
+    # that tables without values still get every line and the report is read once.
+    tables = (
+        rows.select(*keys, _section().alias("section"), _line().alias("line"),
+                    F.month("date").alias("month"), "date", "value")
+        .groupBy(*keys)
+        .agg(F.collect_list(F.when(known, cell)).alias("cells"))
+        .select(*keys, "cells", F.inline(_skeleton()))
     )
+
+    def latest(month: int) -> Column:
+        """The value of the line's last date in the month (NULL if none)."""
+        mine = F.filter(
+            "cells",
+            lambda c: (c["section"] == F.col("section")) & (c["line"] == F.col("line"))
+            & (c["month"] == month),
+        )
+        return F.array_max(F.transform(mine, lambda c: F.struct(c["date"], c["value"])))["value"]
+
     labels = F.array(*(F.lit(label) for _, _, label in _LINES))
-    return table.select(
+    return tables.select(
         *keys,
         "section",
         "line",
         F.get(labels, F.col("line") - 1).alias("indicator"),
-        *(F.col(m) for m in MONTHS),
+        *(latest(int(m)).alias(m) for m in MONTHS),
     )
 
 

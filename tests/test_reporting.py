@@ -77,6 +77,10 @@ def test_annual_table_is_whole(spark):
     by_subgroup = annual.annual_indicator_pivot(report, by_subgroup=True)
     assert by_subgroup.where("attribute = 'funder' AND subgroup = 'A' AND year = 2022").count() == 15
     assert by_subgroup.count() == 45
+    # the report is read once: no copy of it for the lines without values
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("LogicalRDD" in line or "LocalRelation" in line for line in plan.splitlines()) == 1
+    assert "Union" not in plan
 
 
 def formatted(spark, section, line, value, month=7, **options):
