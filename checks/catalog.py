@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixtures import fixture_dump
-from checks.oracles import CUTOFF, FIRST_CUTOFF, FIRST_MID_CUTOFF, MID_CUTOFF
+from checks.oracles import (
+    CUTOFF, FIRST_CUTOFF, FIRST_HOUR, FIRST_MID_CUTOFF, HOURS, LAST_HOUR, MID_CUTOFF,
+)
 from regspan.functions.cutoffs import cutoff_dates
 from regspan.operators import annual, attributes, history, reporting, samples, summary
 from regspan.schemas import OVERALL, SUPPORTED_ATTRIBUTES, VALID_REGISTRATION
@@ -17,6 +19,7 @@ from regspan.sources.dump import Dump, scan_table
 
 CUTOFFS = cutoff_dates(FIRST_CUTOFF, CUTOFF)
 MID_CUTOFFS = cutoff_dates(FIRST_MID_CUTOFF, MID_CUTOFF)
+HOURLY_CUTOFFS = cutoff_dates(FIRST_HOUR, LAST_HOUR, f"{HOURS} hours")
 
 
 def _panel(dump: Dump) -> DataFrame:
@@ -171,6 +174,7 @@ ON_DUMP |= {
     "resource_counts_at_date_mid": lambda dump: history.resource_counts_at_date(dump, MID_CUTOFF),
     "los_leaderboard_mid": lambda dump: leaderboard(dump, MID_CUTOFF),
     "event_history_panel_mid": lambda dump: history.event_history_panel(dump, MID_CUTOFFS),
+    "event_history_panel_hourly": lambda dump: history.event_history_panel(dump, HOURLY_CUTOFFS),
     "event_history_measures_mid": lambda dump: history.event_history_panel(
         dump, MID_CUTOFFS, measures=_measures(), status=_two_kinds_and_a_live_output
     ),

@@ -185,13 +185,13 @@ _FIRSTS = ("first_linked_output", "first_linked_outcome")
 def _link_changes(dump: Dump, additions: DataFrame, cutoffs: Sequence[date]) -> DataFrame:
     """Changes of the counts of a node: each link once where it becomes visible and once,
     negated, where its artifact is gone."""
-    last = F.lit(cutoffs[-1])
+    last = cutoff_literal(cutoffs[-1])
     n = len(cutoffs)
     # Positions are taken before the join: it then moves and compares small integers.
     additions = additions.select(
         "node_id", "artifact_id", cutoff_position("added", cutoffs).alias("added_at")
     )
-    artifacts = _artifacts(dump, last, F.lit(cutoffs[0])).select(
+    artifacts = _artifacts(dump, last, cutoff_literal(cutoffs[0])).select(
         "*",
         cutoff_position("artifact_created", cutoffs).alias("created_at"),
         cutoff_position("artifact_deleted", cutoffs).alias("stop"),
@@ -237,7 +237,7 @@ def status_runs(
     it has. `cutoffs_id` marks the cutoffs that positions refer to.
     """
     cutoffs = check_cutoffs(cutoffs)
-    last = F.lit(cutoffs[-1])
+    last = cutoff_literal(cutoffs[-1])
     births = _registrations_at(dump, sample, last).select(
         F.col("id").alias("node_id"),
         cutoff_position("created", cutoffs).alias("position"),

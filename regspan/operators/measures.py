@@ -92,14 +92,14 @@ def measure_snapshot(
 
 def _intervals(dump: Dump, cutoffs: list[date], sample: Sample, small_sample: bool) -> tuple:
     """Registrations with the position where they exist, and links with [start, stop)."""
-    last = F.lit(cutoffs[-1])
+    last = cutoff_literal(cutoffs[-1])
     births = _registrations_at(dump, sample, last).select(
         F.col("id").alias("node_id"), cutoff_position("created", cutoffs).alias("birth")
     )
     added = _of_sample(_additions(dump, last), births, small_sample).select(
         "node_id", "artifact_id", cutoff_position("added", cutoffs).alias("added_at")
     )
-    artifacts = _artifacts(dump, last, F.lit(cutoffs[0])).select(
+    artifacts = _artifacts(dump, last, cutoff_literal(cutoffs[0])).select(
         "*",
         cutoff_position("artifact_created", cutoffs).alias("created_at"),
         cutoff_position("artifact_deleted", cutoffs).alias("stop"),

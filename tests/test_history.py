@@ -244,10 +244,51 @@ def test_runs_are_tied_to_their_cutoffs(dump):
         summary.los_summary_of_runs(runs, bag, months[1:], ["provider"]).collect()
 
 
-def test_times_of_day_are_refused_in_the_panel_and_kept_in_snapshots(dump):
+def test_times_of_day_make_a_panel_of_instants(dump):
     noon = datetime(2000, 3, 15, 12)
-    for snapshot in (None, history.resource_counts_at_date):
-        with pytest.raises(ValueError, match="time of day"):
-            event_history_panel(dump, ["2000-01-01", noon], snapshot=snapshot)
+    panel = event_history_panel(dump, ["2000-01-01", noon])
+    assert dict(panel.dtypes)["date"] == "timestamp_ntz"
+    assert bag(panel) == bag(per_cutoff(dump, ["2000-01-01", noon]))
     midnight = event_history_panel(dump, [datetime(2000, 1, 1), "2000-02-01"])
+    assert dict(midnight.dtypes)["date"] == "date"
     assert midnight.count() == event_history_panel(dump, ["2000-01-01", "2000-02-01"]).count()
+
+
+def test_an_hourly_panel_is_the_snapshots(spark):
+    """Cutoffs every 5 hours; log rows, artifacts and deletions at all hours of the day."""
+    rng = random.Random(5)
+    start = datetime(2020, 1, 1)
+
+    def moment(hours):
+        return (start + timedelta(hours=rng.randrange(-20, hours), minutes=rng.randrange(60))).isoformat()
+
+    nodes = [node(i, moment(60)) for i in range(8)]
+    artifacts = []
+    for i in range(25):
+        created = moment(70)
+        gone = datetime.fromisoformat(created) + timedelta(hours=rng.randrange(1, 40))
+        artifacts.append(artifact(f"5{i:05d}", rng.choice([1, 11, 31, 31, 99]), created,
+                                  gone.isoformat() if rng.random() < 0.5 else None))
+    logs = [added(rng.randrange(8), f"5{rng.randrange(25):05d}", moment(70)) for _ in range(120)]
+    dump = make_dump(spark, nodes=nodes, logs=logs, artifacts=artifacts)
+    hours = cutoff_dates("2020-01-01 03:00", "2020-01-04 03:00", "5 hours")
+    assert len(hours) == 15 and hours[1] == datetime(2020, 1, 1, 8)
+    for null_as_zero in (False, True):
+        panel = event_history_panel(dump, hours, null_as_zero=null_as_zero)
+        assert bag(panel) == bag(per_cutoff(dump, hours, null_as_zero=null_as_zero))
+
+
+def test_positions_of_instants_by_binary_search(spark):
+    from bisect import bisect_left
+
+    from regspan.functions.cutoffs import check_cutoffs, cutoff_position
+
+    rng = random.Random(3)
+    for n in (1, 2, 7, 64, 100):
+        base = datetime(2020, 1, 1, 1)
+        cutoffs = check_cutoffs(sorted({base + timedelta(minutes=rng.randrange(10_000)) for _ in range(n)}))
+        moments = [base + timedelta(minutes=rng.randrange(-100, 10_100)) for _ in range(200)]
+        moments += list(cutoffs) + [None]
+        df = spark.createDataFrame([(m,) for m in moments], "m timestamp_ntz")
+        found = [r.p for r in df.select(cutoff_position("m", cutoffs).alias("p")).collect()]
+        assert found == [len(cutoffs) if m is None else bisect_left(cutoffs, m) for m in moments]
\ No newline at end of file
