@@ -179,7 +179,7 @@ ON_DUMP |= {
         dump, MID_CUTOFFS, measures=_measures(), status=_two_kinds_and_a_live_output
     ),
     "history_of_few_registrations": lambda dump: history.event_history_panel(
-        dump, MID_CUTOFFS, [*VALID_REGISTRATION, F.col("id").isin(660, 717)], small_sample=True
+        dump, MID_CUTOFFS, [*VALID_REGISTRATION, F.col("provider_id") == 2], small_sample=True
     ),
     "resource_counts_at_date_null_as_zero": lambda dump: history.resource_counts_at_date(
         dump, CUTOFF, null_as_zero=True

@@ -341,7 +341,8 @@ FROM (SELECT *, lag(is_los) OVER (PARTITION BY node_id ORDER BY date) AS los_lag
                     count(DISTINCT artifact_type) AS types,
                     min(artifact_created) AS first_visible, max(artifact_created) AS latest_visible
                   FROM all_history GROUP BY date, node_id)))""",
-    "history_of_few_registrations": "SELECT * FROM panel WHERE node_id IN (660, 717)",
+    "history_of_few_registrations": """SELECT * FROM panel
+WHERE node_id IN (SELECT id FROM nodes WHERE provider_id = 2)""",
 }
 
 
