@@ -36,7 +36,7 @@ SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS = 3
 TOP_TERMS = 200
 SCALE = 10**9
-LEAF = 16  # term ids under a leaf of a segment tree
+LEAF = 64  # term ids under a leaf of a segment tree, priced by numpy at once
 BLOCK = 4096  # least term ids of a block; a language has at most BLOCKS blocks beyond that
 BLOCKS = 64
 
@@ -49,7 +49,7 @@ def terms(text) -> F.Column:
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     folded = F.translate(F.coalesce(text, F.lit("")), upper, upper.lower())
     # the pieces between runs of other characters: the same terms, found faster
-    return F.filter(F.split(folded, SEPARATORS), lambda t: t != "")
+    return F.array_remove(F.split(folded, SEPARATORS), "")
 
 
 class Forest:
@@ -157,16 +157,12 @@ def audit(docs: DataFrame) -> DataFrame:
         F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
         terms(F.col("text")).alias("terms"),
     )
-
-    def tagged(column: F.Column, occurrence: int) -> F.Column:
-        return F.transform(column, lambda t: F.struct(
-            t.alias("term"), F.lit(occurrence).alias("occ"), F.lit(1 - occurrence).alias("doc")
-        ))
-
-    both = F.concat(tagged(F.col("terms"), 1), tagged(F.array_distinct("terms"), 0))
+    # all terms, then the distinct ones: a place below the number of terms is an occurrence
+    both = F.posexplode(F.concat("terms", F.array_distinct("terms"))).alias("at", "term")
+    occurrence = (F.col("at") < F.col("n")).cast("long")
     per_group = stored(
-        rows.select("lang", "source", F.explode(both).alias("e"))
-        .select("lang", "source", "e.*")
+        rows.select("lang", "source", F.size("terms").alias("n"), both)
+        .select("lang", "source", "term", occurrence.alias("occ"), (1 - occurrence).alias("doc"))
         .groupBy("lang", "source", "term")
         .agg(F.sum("occ").cast("long").alias("count"), F.sum("doc").cast("long").alias("docs")),
         "div-terms",

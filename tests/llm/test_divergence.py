@@ -100,7 +100,8 @@ def test_empty(empty):
     assert divergence.audit(empty).count() == 0
 
 
-def test_forest_shares_equal_subtrees():
+def test_forest_shares_equal_subtrees(monkeypatch):
+    monkeypatch.setattr(divergence, "LEAF", 16)  # four leaves under the root
     forest = divergence.Forest(64)
     import numpy as np
 
