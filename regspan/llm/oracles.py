@@ -47,27 +47,37 @@ WHERE {condition}"""
 
 
 def _secrets() -> str:
-    least = f"CASE WHEN regexp_full_match(m, '[0-9A-Fa-f]+') THEN {secrets.HEX_BITS} ELSE {secrets.KEY_BITS} END"
-    shape = (
-        "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') "
-        f"AND NOT regexp_matches(m, {_quoted(secrets.ALLOWED)})"
-    )
+    """Base spans by pattern; candidates in the text with base spans blanked, each judged on
+    itself and its runs of letters and digits by the limit of their alphabet."""
     width = secrets.WINDOW
-    entropy = f"""list_max(list_transform(range(1, len(m) - {width - 2}), lambda i:
-  list_entropy(string_split(m[i:i + {width - 1}], ''))))"""
+    entropy = f"""list_max(list_transform(range(1, len(p) - {width - 2}), lambda i:
+  list_entropy(string_split(p[i:i + {width - 1}], ''))))"""
+    least = f"""CASE WHEN regexp_full_match(p, '[0-9A-Fa-f]+') THEN {secrets.HEX_BITS}
+  WHEN regexp_full_match(p, '[A-Z2-7]+|[a-z2-7]+') THEN {secrets.BASE32_BITS}
+  WHEN regexp_full_match(p, '[A-Z0-9]+|[a-z0-9]+') THEN {secrets.ONE_CASE_BITS}
+  WHEN regexp_full_match(p, '[A-Za-z0-9]+') THEN {secrets.MIXED_BITS}
+  WHEN regexp_matches(p, '[A-Z]') AND regexp_matches(p, '[a-z]') AND regexp_matches(p, '[0-9]')
+    THEN {secrets.BASE64_BITS}
+  ELSE {secrets.KEY_BITS} END"""
+    random = f"""NOT regexp_matches(m, {_quoted(secrets.ALLOWED)}) AND list_bool_or(list_transform(
+  list_distinct(list_concat([m], regexp_extract_all(m, {_quoted(secrets.RUN)}))), lambda p:
+    regexp_matches(p, '[0-9]') AND regexp_matches(p, '[A-Za-z]') AND {entropy} >= {least}))"""
     names = ", ".join(f"'{k}'" for k in secrets.KINDS)
     joined = f"""coalesce(string_agg(list_value({names})[kind + 1] || ':' || a || ':' || b, ','
   ORDER BY a, kind)"""
+    candidates = _matches(secrets.CANDIDATE, 3, random).replace("FROM t))", "FROM bl))")
     return f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 base AS (SELECT *, a + len(m) AS b FROM (
 {_matches(secrets.ASSIGN, 0, f"len(regexp_extract(m, {_quoted(secrets.ASSIGN)}, 2)) >= {secrets.ASSIGN_VALUE}")}
 UNION ALL {_matches(secrets.ACCESS, 1, 'true')}
 UNION ALL {_matches(secrets.HEX, 2, 'true')})),
-candidates AS (SELECT *, a + len(m) AS b FROM ({_matches(secrets.CANDIDATE, 3, shape)})),
-more AS (SELECT * FROM candidates c
-  WHERE {entropy} >= {least} AND NOT EXISTS (SELECT 1 FROM base
-    WHERE base.doc_id = c.doc_id AND base.a < c.b AND c.a < base.b)),
+covered AS (SELECT doc_id, list([a, b]) AS bs FROM base GROUP BY doc_id),
+bl AS (SELECT t.doc_id, CASE WHEN bs IS NULL THEN t.t ELSE array_to_string(list_transform(
+    range(1, len(t.t) + 1), lambda i: CASE WHEN list_bool_or(list_transform(bs, lambda s: s[1] < i AND i <= s[2]))
+      THEN ' ' ELSE t.t[i] END), '') END AS t
+  FROM t LEFT JOIN covered USING (doc_id)),
+more AS (SELECT *, a + len(m) AS b FROM ({candidates})),
 spans AS (SELECT doc_id, kind, a, b FROM base UNION ALL SELECT doc_id, kind, a, b FROM more)
 SELECT t.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
   count(*) FILTER (kind = 2) AS n_hex,
