@@ -20,11 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (spark.checkpoint.dir).
 
-    Only where the session names none, as in tests on one machine, a folder is made and the
-    setting is kept in the session for later calls.
+    Only where the session names none and runs in local mode, as in tests on one machine, a
+    folder is made and the setting is kept in the session for later calls. Elsewhere a folder
+    of the driver's machine would not be seen by the executors, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="llm-scratch-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
