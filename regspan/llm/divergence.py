@@ -193,11 +193,16 @@ def audit(docs: DataFrame) -> DataFrame:
     counts = stored(per_group.select("lang", "source", "term", "count").join(kept, ["lang", "term"]), "div-counts")
     langs = kept.select("lang", "v").distinct()
     sums = counts.groupBy("lang", "source").agg(F.sum("count").alias("n_sum"))
+    # one row per group, with its language's total too: a small stored table, joined by its size,
+    # so that no join of the counts is keyed by the language alone
+    lang_sums = sums.groupBy("lang").agg(F.sum("n_sum").alias("lang_sum"))
+    v = F.coalesce("v", F.lit(0))
     grouped = (
         groups.join(langs, "lang", "left").join(sums, ["lang", "source"], "left")
+        .join(lang_sums, "lang", "left")
         .select(
-            "lang", "source", F.coalesce("v", F.lit(0)).alias("v"),
-            (F.coalesce("v", F.lit(0)) + F.coalesce("n_sum", F.lit(0))).alias("total"),
+            "lang", "source", v.alias("v"), (v + F.coalesce("n_sum", F.lit(0))).alias("total"),
+            (v + F.coalesce("lang_sum", F.lit(0))).alias("lang_total"),
         )
     )
     grouped = stored(grouped, "div-groups")
@@ -237,12 +242,9 @@ def audit(docs: DataFrame) -> DataFrame:
 
     # part term: natively, against the language's p
     lang_counts = counts.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"))
-    lang_totals = grouped.groupBy("lang").agg(F.first("v").alias("v")).join(
-        counts.groupBy("lang").agg(F.sum("count").alias("lang_sum")), "lang"
-    ).select("lang", (F.col("v") + F.col("lang_sum")).alias("lang_total"))
-    with_p = counts.join(grouped.select("lang", "source", "total"), ["lang", "source"]).join(
+    with_p = counts.join(grouped.select("lang", "source", "total", "lang_total"), ["lang", "source"]).join(
         lang_counts, ["lang", "term"]
-    ).join(lang_totals, "lang").select(
+    ).select(
         "lang", "source", F.col("term").alias("item"),
         F.expr(f"1 + (CAST(count + 1 AS DECIMAL(38,0)) * {SCALE}) div total").alias("p"),
         F.expr(f"1 + (CAST(lang_count + 1 AS DECIMAL(38,0)) * {SCALE}) div lang_total").alias("q"),
