@@ -124,4 +124,4 @@ def test_queries_agree_with_sql(spark, sf_dir, name):
 
 
 def test_registered_names():
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in catalog.queries() if n != "pipeline"} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in catalog.queries() if n != "pipeline"} == set(range(1, 14))
