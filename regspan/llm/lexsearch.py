@@ -15,7 +15,8 @@ terms, df, tf; w = floor(1000 ln((2N+2)/(2df+1))) in doubles; m = 10 + (90 n N)
 score = sum over the query's distinct terms of w * ((10**9 tf) div (1000 tf + 8 m)).
 
 Odd rows: a NULL or empty text has no terms and is never found; rows with equal doc_id are
-documents of their own (equal scores, ties by doc_id, NULL last, and give equal rows); an item without terms or
+documents of their own (equal scores, ties by doc_id, NULL last, and give equal rows); items of
+equal item_id, NULL included, are one item with the terms of all; an item without terms or
 whose terms no document holds gets no rows; extra input columns are ignored; an empty table of
 documents or items gives an empty result.
 """
@@ -39,7 +40,7 @@ QUERY_BLOCK = 4096  # queries that meet one group in one task
 LEAF = 32  # documents of a leaf
 MARGIN = 1e-9  # relative widening of every float bound; rounding error stays below 1e-12
 
-HITS = "item_id long, doc_key long, no_id boolean, row_key long, score long"
+HITS = "item_key long, no_item boolean, doc_key long, no_id boolean, row_key long, score long"
 
 
 def terms(text) -> F.Column:
@@ -152,10 +153,10 @@ def _search_group(docs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     """One group of documents against one block of queries: the group's ten best per query.
 
     docs: row_key, doc_key (doc_id, 0 if NULL), no_id, term, s (a row per document and
-    query term); queries: item_id, term, w.
+    query term); queries: item_key, no_item (as doc_key, no_id), term, w.
     """
-    names = ["item_id", "doc_key", "no_id", "row_key", "score"]
-    empty = pd.DataFrame({n: pd.Series([], dtype="bool" if n == "no_id" else "int64") for n in names})
+    names = ["item_key", "no_item", "doc_key", "no_id", "row_key", "score"]
+    empty = pd.DataFrame({n: pd.Series([], dtype="bool" if n.startswith("no_") else "int64") for n in names})
     if docs.empty or queries.empty:
         return empty
     vocab = pd.Index(pd.unique(queries["term"]))
@@ -187,10 +188,10 @@ def _search_group(docs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         return out
 
     out = []
-    for item, q in queries.groupby("item_id", sort=False):
+    for (item, no_item), q in queries.groupby(["item_key", "no_item"], sort=False):
         q_terms = vocab.get_indexer(q["term"].to_numpy())
         for score, row in tree.search(q_terms, q["w"].to_numpy(np.int64), score_rows):
-            out.append((item, doc_ids[row], no_ids[row], row_keys[row], score))
+            out.append((item, no_item, doc_ids[row], no_ids[row], row_keys[row], score))
     if not out:
         return empty
     return pd.DataFrame(out, columns=names)
@@ -202,34 +203,42 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     Returns item_id, rank (from 1), doc_id, score.
     """
     spark = docs.sparkSession
-    # two passes over the texts rather than a stored copy of all their terms
-    totals = docs.select(F.size(terms(F.col("text"))).alias("n")).agg(
-        F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.sum("n").alias("L")
-    ).first()
-    big_n, big_l = int(totals["N"] or 0), int(totals["L"] or 0)
-    if big_n == 0:
-        return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     n_items = items.select("item_id").distinct().count()
     blocks = max(1, -(-n_items // QUERY_BLOCK))
     asked = stored(
         items.select(
-            F.pmod(F.xxhash64("item_id"), F.lit(blocks)).alias("block"), "item_id",
+            F.pmod(F.xxhash64("item_id"), F.lit(blocks)).alias("block"),
+            F.coalesce("item_id", F.lit(0)).alias("item_key"), F.col("item_id").isNull().alias("no_item"),
             F.explode(F.array_distinct(terms(F.col("text")))).alias("term"),
-        ),
+        ).distinct(),
         "lex-asked",
     )
-    wanted = asked.select("term").distinct()
-    # occurrences of asked terms only; one document may hold a term many times
+    # occurrences of asked terms only; one document may hold a term many times. '' is no term:
+    # it marks the one row per document that N and L are taken from, so the texts are read once
+    wanted = asked.select("term").union(spark.range(1).select(F.lit(""))).distinct()
     rows = docs.select(
         F.monotonically_increasing_id().alias("row_key"), "doc_id", terms(F.col("text")).alias("terms")
     )
     tf = (
-        rows.select("row_key", "doc_id", F.size("terms").cast("long").alias("n"), F.explode("terms").alias("term"))
+        rows.select(
+            "row_key", "doc_id", F.size("terms").cast("long").alias("n"),
+            F.explode(F.concat(F.array(F.lit("")), "terms")).alias("term"),
+        )
         .join(wanted, "term", "left_semi")
         .groupBy("row_key", "doc_id", "n", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
     tf = stored(tf, "lex-tf")
+    is_doc = F.col("term") == ""
+    totals = tf.agg(
+        F.count(F.when(is_doc & (F.col("n") > 0), 1)).alias("N"),
+        F.sum(F.when(is_doc, F.col("n"))).alias("L"),
+        F.count(F.when(~is_doc, 1)).alias("entries"),
+    ).first()
+    big_n, big_l, n_entries = int(totals["N"]), int(totals["L"] or 0), int(totals["entries"])
+    if big_n == 0:
+        return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
+    tf = tf.where(~is_doc)
     m = f"(10L + (90L * n * {big_n}L) div {big_l}L)"
     entries = tf.select(
         "row_key", "doc_id", "term", F.expr(f"(1000000000L * tf) div (1000L * tf + 8L * {m})").alias("s")
@@ -238,8 +247,7 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     weight = F.floor(
         F.lit(1000.0) * F.log((F.lit(2.0 * big_n + 2.0)) / (F.col("df") * 2.0 + 1.0))
     ).cast("long")
-    queries = asked.join(df, "term").select("block", "item_id", "term", weight.alias("w"))
-    n_entries = tf.count()
+    queries = asked.join(df, "term").select("block", "item_key", "no_item", "term", weight.alias("w"))
     groups = max(1, -(-n_entries // GROUP_ENTRIES))
     # every (document, term) entry goes to the blocks whose queries hold the term
     at = entries.join(asked.select("block", "term").distinct(), "term").withColumn(
@@ -250,18 +258,21 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
         F.col("doc_id").isNull().alias("no_id"), "term", "s",
     )
     # the block of queries is copied to every group; names of their own keep the sides apart
-    copies = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("q_grp")
-    qs = queries.select(F.col("block").alias("q_block"), copies, "item_id", "term", "w")
+    # both sides of a cogroup need keys of one type: an int and a long of equal value are dealt
+    # to different partitions
+    last_group = F.lit(groups - 1).cast("long")
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), last_group)).alias("q_grp")
+    qs = queries.select(F.col("block").alias("q_block"), copies, "item_key", "no_item", "term", "w")
     hits = at.groupBy("block", "grp").cogroup(qs.groupBy("q_block", "q_grp")).applyInPandas(
         lambda d, q: _search_group(d, q), HITS
     )
     # rows of equal doc_id and score give equal output rows, so row_key settles the rest
-    ranked = Window.partitionBy("item_id").orderBy(F.desc("score"), "no_id", "doc_key", "row_key")
+    ranked = Window.partitionBy("no_item", "item_key").orderBy(F.desc("score"), "no_id", "doc_key", "row_key")
     return (
         hits.withColumn("rank", F.row_number().over(ranked))
         .where(F.col("rank") <= top)
         .select(
-            "item_id", F.col("rank").cast("int"),
+            F.when(~F.col("no_item"), F.col("item_key")).alias("item_id"), F.col("rank").cast("int"),
             F.when(~F.col("no_id"), F.col("doc_key")).alias("doc_id"), "score",
         )
     )

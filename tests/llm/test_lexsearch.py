@@ -98,6 +98,21 @@ def test_ties_and_many_groups(spark, docs_of, items, monkeypatch):
     assert rows_of(lexsearch.search(docs, items)) == sorted(brute(rows, its))
 
 
+def test_keys_dealt_over_many_partitions(spark, docs_of, monkeypatch):
+    """Groups meet their queries also where no partitions are merged; an item may have no id."""
+    monkeypatch.setattr(lexsearch, "GROUP_ENTRIES", 40)
+    rows = [(i, f"the cat{i % 7} sat on dog{i % 11} " + "bird " * (i % 5)) for i in range(120)]
+    items = [(0, "cat1 bird"), (None, "dog3 cat2"), (2**53 + 1, "the dog5 bird")]
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merging)
+    spark.conf.set(merging, "false")
+    try:
+        found = rows_of(lexsearch.search(docs_of(rows), spark.createDataFrame(items, "item_id long, text string")))
+    finally:
+        spark.conf.set(merging, before)
+    assert found == sorted(brute(rows, items))
+
+
 def test_tree_search_is_exact():
     """The tree alone against all rows, on random sparse vectors with ties."""
     rng = np.random.default_rng(7)
