@@ -11,12 +11,14 @@ positions [start, stop). A measure aggregates an expression over the links visib
   to where it falls back to 0, which is again a change of +1 and -1.
 * `min` and `max` of links that may stop: every interval is cut into at most two blocks per
   level of a dyadic partition of the positions; a block keeps the least (greatest) value of the
-  links that cover it whole. The value at a cutoff is the least (greatest) over the one block
-  per level that holds it, log2(cutoffs) + 1 lookups.
+  links that cover it whole. The value at a cutoff is the least (greatest) over the blocks that
+  hold it, one per level at most.
 
-Each shuffle is keyed by registration and position, value or block, and rows are combined on
-the map side first, so a registration with a large share of the links is no single task. The
-log and the artifacts are read once for all cutoffs; a cutoff costs no scan of its own.
+The first shuffles are keyed by registration and position, value or block, and rows are
+combined on the map side first, so a registration with a large share of the links is no single
+task. What is left of a registration are some rows per cutoff; they are shuffled once by
+registration, spread over the cutoffs and added up there, so the rows of the panel are not
+shuffled. The log and the artifacts are read for all cutoffs at once; a cutoff costs no scan.
 
 A registration has a row at every cutoff from the one at which it exists. Measures are NULL
 (sum, count, distinct: 0) where no link of theirs is visible. `measure_snapshot` gives one
@@ -28,6 +30,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +41,8 @@ from regspan.operators.samples import Sample
 from regspan.schemas import VALID_REGISTRATION
 from regspan.sources.dump import Dump
 
+# Partitions of the rows that are spread over the cutoffs, as a multiple of shuffle partitions.
+SPREAD = 4
 KINDS = ("sum", "count", "distinct", "min", "max")
 # Columns of a link that measures may use.
 LINK_COLUMNS = ("node_id", "artifact_id", "artifact_type", "artifact_created", "artifact_deleted")
@@ -113,58 +118,59 @@ def _intervals(dump: Dump, cutoffs: list[date], sample: Sample, small_sample: bo
     return births, links
 
 
+def _both_ends(n: int) -> Column:
+    """A link as +1 where it starts and -1 where it stops, if that is before the end."""
+    begin = F.struct(F.col("start").alias("position"), F.lit(1).alias("sign"))
+    end = F.struct(F.col("stop").alias("position"), F.lit(-1).alias("sign"))
+    return F.when(F.col("stop") < n, F.array(begin, end)).otherwise(F.array(begin))
+
+
 def _changes(links: DataFrame, measures: Sequence[Measure], n: int) -> DataFrame | None:
-    """(node_id, position, one column per sum, count and distinct measure) of changes."""
+    """(node_id, position, one column per sum, count and distinct measure) of changes.
+
+    Added up on the map side, not yet over the whole: a position may have several rows. The
+    links are read once for all sums and counts and the first distinct measure.
+    """
     additive = [m for m in measures if m.kind in ("sum", "count")]
     distinct = [m for m in measures if m.kind == "distinct"]
-    names = [m.name for m in additive + distinct]
-    if not names:
-        return None
     parts = []
-    if additive:
-        begin = F.struct(F.col("start").alias("position"), F.lit(1).alias("sign"))
-        end = F.struct(F.col("stop").alias("position"), F.lit(-1).alias("sign"))
-        both = F.when(F.col("stop") < n, F.array(begin, end)).otherwise(F.array(begin))
-        ends = links.select(*(m._value().alias(m.name) for m in additive), "node_id", F.inline(both))
-        parts.append(ends.select(
-            "node_id", "position", *(F.col(m.name) * F.col("sign") for m in additive)
-        ).toDF("node_id", "position", *(m.name for m in additive)))
-    for m in distinct:
-        # coverage of each (registration, value): the sum of its links' changes
-        begin = F.struct(F.col("start").alias("position"), F.lit(1).alias("sign"))
-        end = F.struct(F.col("stop").alias("position"), F.lit(-1).alias("sign"))
-        both = F.when(F.col("stop") < n, F.array(begin, end)).otherwise(F.array(begin))
-        covered = (
-            links.select("node_id", m._value().alias("v"), F.inline(both))
-            .where(F.col("v").isNotNull())
-            .groupBy("node_id", "v", "position").agg(F.sum("sign").alias("sign"))
+    for i in range(max(len(distinct), min(len(additive), 1))):
+        m, added = distinct[i] if distinct else None, additive if i == 0 else []
+        ends = links.select(
+            *(a._value().alias(a.name) for a in added), *([m._value().alias("v")] if m else []),
+            "node_id", F.inline(_both_ends(n)),
         )
-        in_value = Window.partitionBy("node_id", "v").orderBy("position")
-        level = F.sum("sign").over(in_value.rowsBetween(Window.unboundedPreceding, 0))
-        turned = covered.select("node_id", "v", "position", level.alias("level")).select(
-            "node_id", "position",
-            (
-                F.when(F.col("level") > 0, 1).otherwise(0)
-                - F.coalesce(F.when(F.lag("level").over(in_value) > 0, 1).otherwise(0), F.lit(0))
-            ).alias(m.name),
+        if m and not added:
+            ends = ends.where(F.col("v").isNotNull())
+        # coverage of each (registration, value): the sum of its links' changes
+        keys = ["node_id", "v"] if m else ["node_id"]
+        part = ends.groupBy(*keys, "position").agg(
+            F.sum("sign").alias("sign"), *(F.sum(F.col(a.name) * F.col("sign")).alias(a.name) for a in added)
         )
-        parts.append(turned.where(F.col(m.name) != 0))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out.groupBy("node_id", "position").agg(
-        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names)
-    )
+        if m:
+            in_value = Window.partitionBy("node_id", "v").orderBy("position")
+            level = F.sum("sign").over(in_value.rowsBetween(Window.unboundedPreceding, 0))
+            before = F.coalesce(F.when(F.lag("level").over(in_value) > 0, 1).otherwise(0), F.lit(0))
+            turned = F.when(F.col("level") > 0, 1).otherwise(0) - before
+            part = part.withColumn("level", level).withColumn(
+                m.name, F.when(F.col("v").isNotNull(), turned).otherwise(0)
+            )
+            if not added:
+                part = part.where(F.col(m.name) != 0)
+        parts.append(part.drop("v", "sign", "level"))
+    if not parts:
+        return None
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
-def _blocks(links: DataFrame, m: Measure, levels: int) -> DataFrame:
-    """(node_id, level, block, value): the least or greatest value covering each dyadic block.
+def _blocks(links: DataFrame, measures: Sequence[Measure], levels: int) -> DataFrame:
+    """(node_id, position, end, a column per measure): the least or greatest value covering each
+    dyadic block [position, end) of positions.
 
     At a level k a block i is the positions [i * 2**k, (i + 1) * 2**k). An interval [a, b) is
     the union of the blocks it covers whole whose parent it does not cover: at most the first
-    and the last of each level.
+    and the last of each level. One pass over the links serves all measures.
     """
-    pick = F.min if m.kind == "min" else F.max
     size = F.expr("shiftleft(1L, level)")
     first = F.expr("CAST(ceil(start / power(2, level)) AS BIGINT)")
     last = F.expr("CAST(floor(stop / power(2, level)) AS BIGINT) - 1")
@@ -176,14 +182,21 @@ def _blocks(links: DataFrame, m: Measure, levels: int) -> DataFrame:
         parent = F.floor(i / 2)
         return whole(i, size) & ~whole(parent, size * 2)
 
+    names = [m.name for m in measures]
     with_levels = links.select(
-        "node_id", "start", "stop", m._value().alias("v"),
+        "node_id", "start", "stop", *(m._value().alias(m.name) for m in measures),
         F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level"),
-    ).where(F.col("v").isNotNull())
+    ).where(F.coalesce(*(F.when(F.col(c).isNotNull(), True) for c in names)))
     ends = with_levels.select(
-        "node_id", "level", "v", "start", "stop", F.explode(F.array_distinct(F.array(first, last))).alias("block")
+        "node_id", "level", *names, "start", "stop", F.explode(F.array_distinct(F.array(first, last))).alias("block")
     ).where(canonical(F.col("block")))
-    return ends.groupBy("node_id", "level", "block").agg(pick("v").alias(m.name))
+    best = ends.groupBy("node_id", "level", "block").agg(
+        *((F.min if m.kind == "min" else F.max)(m.name).alias(m.name) for m in measures)
+    )
+    return best.select(
+        "node_id", (F.col("block") * size).cast("int").alias("position"),
+        ((F.col("block") + 1) * size).cast("int").alias("end"), *names,
+    )
 
 
 def measure_panel(
@@ -203,50 +216,58 @@ def measure_panel(
     levels = max(0, (n - 1).bit_length())
     births, links = _intervals(dump, cutoffs, sample, small_sample)
     names = [m.name for m in measures]
-    # every registration at every cutoff from its birth on
-    dense = births.where(F.col("birth") < n).select(
-        "node_id", F.explode(F.sequence("birth", F.lit(n - 1))).alias("position")
+    add = [m.name for m in measures if m.kind in ("sum", "count", "distinct")]
+    extreme = [m for m in measures if m.kind in ("min", "max")]
+    # Each a row of few columns for a span of positions: births last to the end, changes hold
+    # for their position (running totals carry them on), blocks for the positions they cover.
+    # A registration has no more of them than some per cutoff, however many links it has.
+    spans = births.where(F.col("birth") < n).select(
+        "node_id", F.col("birth").alias("position"), F.lit(n).alias("end"), F.lit(1).alias("born")
     )
     changes = _changes(links, measures, n)
     if changes is not None:
-        add = [c for c in changes.columns if c not in ("node_id", "position")]
-        # running totals at the positions of changes, carried to the next change
-        keyed = changes.unionByName(
-            births.select("node_id", F.col("birth").alias("position")), allowMissingColumns=True
-        ).groupBy("node_id", "position").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in add))
-        by_node = Window.partitionBy("node_id").orderBy("position")
-        runs = keyed.select(
-            "node_id", "position", F.lead("position", 1, n).over(by_node).alias("next"),
-            *(F.sum(c).over(by_node.rowsBetween(Window.unboundedPreceding, 0)).alias(c) for c in add),
-        ).where(F.col("position") < n)
-        spread = runs.select(
-            "node_id", *add, F.explode(F.sequence("position", F.col("next") - 1)).alias("position")
+        changes = changes.where(F.col("position") < n).groupBy("node_id", "position").agg(
+            *(F.sum(c).alias(c) for c in add)
+        ).withColumn("end", F.col("position") + 1)
+        spans = spans.unionByName(changes, allowMissingColumns=True)
+    if extreme:
+        spans = spans.unionByName(_blocks(links, extreme, levels), allowMissingColumns=True)
+    # The one shuffle by registration comes before the spans are spread. The number of its
+    # partitions is given, as partitions merged by their small size would be spread too.
+    parts = SPREAD * int(dump["nodes"].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pick = {m.name: F.min if m.kind == "min" else F.max for m in extreme}
+    at = (
+        spans.repartition(parts, "node_id")
+        .select("*", F.explode(F.sequence("position", F.col("end") - 1)).alias("at"))
+        .groupBy("node_id", F.col("at").alias("position"))
+        .agg(
+            F.sum("born").alias("born"),
+            *(F.max(c).alias(c) for c in add),  # of the one row of changes
+            *(pick[m.name](m.name).alias(m.name) for m in extreme),
         )
-        dense = dense.join(spread, ["node_id", "position"], "left")
-    for m in measures:
-        if m.kind not in ("min", "max"):
-            continue
-        blocks = _blocks(links, m, levels)
-        lookups = dense.select(
-            "node_id", "position", F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level")
-        ).withColumn("block", F.expr("shiftright(CAST(position AS BIGINT), level)"))
-        pick = F.min if m.kind == "min" else F.max
-        found = lookups.join(blocks, ["node_id", "level", "block"]).groupBy("node_id", "position").agg(
-            pick(m.name).alias(m.name)
-        )
-        dense = dense.join(found, ["node_id", "position"], "left")
-    panel = dense.select(
-        F.element_at(cutoff_array(cutoffs), F.col("position") + 1).alias("date"), "node_id",
-        *(F.coalesce(m.name, F.lit(0)).alias(m.name) if m.kind in ("sum", "count", "distinct")
-          else F.col(m.name) for m in measures),
+    )
+    by_node = Window.partitionBy("node_id").orderBy("position")
+    total = by_node.rowsBetween(Window.unboundedPreceding, 0)
+    # links may be older than the registration, and nodes outside the sample have links too
+    dense = at.select(
+        "node_id", "position", "born", *(F.coalesce(F.sum(c).over(total), F.lit(0)).alias(c) for c in add),
+        *(m.name for m in extreme),
+    ).where(F.col("born") > 0)
+    if status is not None:
+        dense = dense.withColumn("is_los", status({c: F.col(c) for c in names}).cast("int"))
+        dense = dense.withColumn("los_lag", F.lag("is_los").over(by_node))
+    # rows of equal node_id are registrations of their own, each with a row per cutoff
+    copies = dense.select("*", F.explode(F.sequence(F.lit(1), F.col("born").cast("int"))).alias("copy"))
+    panel = copies.select(
+        F.element_at(cutoff_array(cutoffs), F.col("position") + 1).alias("date"), "node_id", *names,
+        *(
+            ["is_los", F.when(F.col("copy") == 1, F.col("los_lag")).otherwise(F.col("is_los")).alias("los_lag")]
+            if status is not None
+            else []
+        ),
     )
     if status is None:
         return panel
     from regspan.operators.history import _los_change
 
-    in_time = Window.partitionBy("node_id").orderBy("date")
-    return (
-        panel.withColumn("is_los", status({c: F.col(c) for c in names}).cast("int"))
-        .withColumn("los_lag", F.lag("is_los").over(in_time))
-        .withColumn("los_change", _los_change(F.col("los_lag")))
-    )
+    return panel.withColumn("los_change", _los_change(F.col("los_lag")))

@@ -99,3 +99,24 @@ def test_refuses_unknown_kinds():
         Measure("x", "median", "artifact_created")
     with pytest.raises(ValueError):
         Measure("x", "min")
+
+
+def test_links_are_read_twice_whatever_the_measures(spark, dump):
+    """One pass for changes and one for blocks; the panel's rows meet no join."""
+    panel = measure_panel(dump, MONTHS, measures()[:4], status=status)
+    plan = panel._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") == 4  # log and artifacts, twice each
+    assert "Join" not in plan[: plan.index("RepartitionByExpression")]
+
+
+def test_registrations_of_one_id_and_panel_without_additive_measures(spark):
+    """Rows of equal id keep a row each; a panel of minima alone needs no changes."""
+    nodes = [node(1, "2020-02-10"), node(1, "2020-04-10"), node(2, "2020-03-01")]
+    artifacts = [artifact("500001", 1, "2020-01-05", "2020-06-05"), artifact("500002", 31, "2020-05-05", None)]
+    logs = [added(1, "500001", "2020-01-06"), added(1, "500002", "2020-05-06"), added(3, "500001", "2020-01-06")]
+    dump = make_dump(spark, nodes=nodes, logs=logs, artifacts=artifacts)
+    least = [Measure("first_visible", "min", "artifact_created")]
+    found = measure_panel(dump, MONTHS, least).groupBy("node_id", "date").count()
+    assert {r["node_id"]: r["sum(count)"] for r in found.groupBy("node_id").sum("count").collect()} == {1: 18, 2: 10}
+    by_date = {r["date"].month: r["first_visible"] for r in measure_panel(dump, MONTHS, least).where("node_id = 1").collect()}
+    assert [by_date[m] and by_date[m].month for m in range(3, 13)] == [1, 1, 1, 1, 5, 5, 5, 5, 5, 5]
