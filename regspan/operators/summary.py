@@ -131,10 +131,13 @@ def _count_by_subgroup(
         nobody = F.lit(None).cast("string").alias("subgroup")
         overall = rows.groupBy(time).agg(*sums)
         return overall.select(F.lit(OVERALL).alias("attribute"), nobody, time, *COUNTS)
-    # A registration has at most as many of these rows as the report has lines.
+    # A registration has at most as many of these rows as the report has lines. The number of
+    # partitions is given: merged to a size in bytes as shuffled, they would hold as many rows as
+    # compress into it, and with them the rows of the panel that meet them here and are sorted.
+    parts = int(bag.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     weighted = _weighted(
         bag.where(F.col("attribute").isin(*attributes)), "attribute", "subgroup"
-    ).repartition("node_id")
+    ).repartition(parts, "node_id")
     of_attribute = Window.partitionBy("node_id", "attribute").orderBy("subgroup")
     of_node = Window.partitionBy("node_id").orderBy("attribute", "subgroup")
     marked = weighted.withColumns(

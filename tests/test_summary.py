@@ -139,3 +139,11 @@ def test_leaderboard_counts_registrations_outside_the_snapshot(spark):
     assert [(r.institution, r.n_regs, r.n_los, r.prop_los) for r in got] == [
         ("A", 2, 1, 0.5), ("B", 1, 0, 0.0),
     ]
+
+
+def test_partitions_of_the_summary_are_not_merged(spark, dump):
+    """What meets the panel by registration keeps the given number of partitions."""
+    from checks.catalog import ON_DUMP
+
+    lines = ON_DUMP["los_summary_all_from_panel"](dump)
+    assert "REPARTITION_BY_NUM" in lines._jdf.queryExecution().executedPlan().toString()
