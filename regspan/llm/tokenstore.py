@@ -135,12 +135,12 @@ def _tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        shard, one = TaskContext.get().partitionId(), encoder(tokenizer, "keep")
+        shard, encode_all = TaskContext.get().partitionId(), encoder(tokenizer, "keep").many
         place = before = 0
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.frombuffer(one(text.as_py()) + end, "<u4")
+            for doc_id, found in zip(batch.column(0).to_pylist(), encode_all(batch.column(1))):
+                ids = np.frombuffer(found + end, "<u4")
                 packed = ids.astype("<u2") if int(ids.max()) < 1 << 16 else ids
                 rows.append((place, before, doc_id, len(ids), packed.itemsize, packed.tobytes()))
                 place, before = place + 1, before + len(ids)

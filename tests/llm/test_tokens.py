@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from regspan.llm import tokenstore
+from regspan.llm import tokens, tokenstore
 from regspan.llm.tokens import encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -40,6 +40,40 @@ def test_encoder_gives_the_ids_of_the_library(given, file, space):
         assert np.frombuffer(own(text), "<u4").tolist() == ids, text
 
 
+@pytest.mark.parametrize("file, space", [("byte_bpe_50k.json", "keep"), ("word_bpe_49k.json", "drop")])
+@pytest.mark.parametrize("chunk", [1, 200, 1 << 24])
+def test_many_texts_at_once(file, space, chunk, monkeypatch):
+    import pyarrow as pa
+
+    path = public_tokenizers.path(file)
+    monkeypatch.setattr(tokens, "_CHUNK", chunk)
+    r = random.Random(4)
+    letters = "aAbé .,'<|>\n\t\x0b\r\x1c\u2003́ßΣ1☃🙂\0 "
+    noise = ["".join(r.choice(letters) for _ in range(r.randrange(0, 30))) for _ in range(3000)]
+    texts = pa.array(["cut off", None, *TEXTS, "", *noise, " ", "\n", None, "  \n\n  x", "cut off"]).slice(1)
+    texts = texts.slice(0, len(texts) - 1)
+    encode, found = library(path).encode, tokens.Encoder(path, space).many(texts)
+    for text, ids in zip(texts.to_pylist(), found, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == encode(text or "", add_special_tokens=False).ids, text
+    for few in ([], [None], ["", ""]):
+        assert tokens.Encoder(path, space).many(pa.array(few, pa.string())) == [b""] * len(few)
+
+
+def test_a_distinct_piece_is_looked_up_once():
+    import pyarrow as pa
+
+    class Counting(tokens.Encoder):
+        looked_up = 0
+
+        def __getitem__(self, piece):
+            self.looked_up += 1
+            return super().__getitem__(piece)
+
+    counting = Counting(PATH, "keep")
+    assert len(counting.many(pa.array(["some plain words " * 50 + "some"] * 100))) == 100
+    assert counting.looked_up <= 10
+
+
 def expected(rows):
     encode = library(PATH).encode
     start, out = 0, []
