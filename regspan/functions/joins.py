@@ -11,11 +11,17 @@ def left_join_many(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
 
     A hot key on the right of a left join is processed by one task: the left rows may not
     be replicated. The inner join may be split on either side, so it carries the matches,
-    and an anti-join against the distinct keys (combined before the shuffle) adds the rows
-    without a match. Both branches use the same shuffle of `one`.
+    and an anti-join against the distinct keys adds the rows without a match. Both branches use
+    the same shuffle of `one`.
+
+    Partitions are merged by their size as shuffled, into which very many ids compress. So the
+    matches are found in a hash table of `one` while `many` streams by, instead of sorting both;
+    and the keys keep the given number of partitions, a hot one being held once.
     """
-    matched = one.join(many, key)
-    unmatched = one.join(many.select(key).distinct(), key, "left_anti")
+    matched = one.hint("shuffle_hash").join(many, key)
+    parts = int(one.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = many.select(key).repartition(parts, key).distinct()
+    unmatched = one.join(keys, key, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 

@@ -83,6 +83,17 @@ def test_hot_key_on_the_right_is_split(spark, few_large):
         assert "skew=true" not in plan(plain)
 
 
+def test_tasks_of_a_join_with_many_rows_do_not_hold_all_of_them(spark, few_large):
+    """Matches need no sort of the many rows; the keys of the rest are not merged into few tasks."""
+    one, many = few_large
+    with settings(spark, NO_BROADCAST):
+        joined = left_join_many(one, many, "node_id")
+        joined.collect()
+        matched, rest = plan(joined).split("Initial Plan")[0].split("LeftAnti")
+        assert "ShuffledHashJoin" in matched and "Sort" not in matched.split("ShuffledHashJoin")[1].split("Project")[0]
+        assert "REPARTITION_BY_NUM" in rest and "coalesced" not in rest
+
+
 def test_attribute_rows_are_counted_before_they_meet_the_registrations(spark, dump):
     """A hot registration then has no more rows than there are values, in each of these."""
     with settings(spark, {**NO_BROADCAST, "spark.sql.adaptive.enabled": "false"}):
